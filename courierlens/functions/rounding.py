@@ -16,10 +16,16 @@ def percent(part: Column, whole: Column) -> Column:
     return part / whole * 100.0
 
 
-def exact_avg(c: Column, scale: int = 4) -> Column:
-    """Mean of a measured double, summed as decimals of ``scale`` places.
+def scaled_sum(c: Column, places: int) -> Column:
+    """Sum of a measured double as whole units of its last decimal place.
 
-    A double sum depends on the order in which partitions are merged; a decimal
-    sum does not, so ties round the same way on every run.
+    A sum of doubles depends on the order in which partitions are merged; a sum
+    of integers does not, so averages and their ties come out the same each run.
     """
-    return F.avg(c.cast(f"decimal({8 + scale},{scale})"))
+    return F.sum(F.round(c * 10**places).cast("bigint"))
+
+
+def exact_avg(c: Column, places: int = 6) -> Column:
+    """Mean of a measured double through its ``scaled_sum``; null when empty."""
+    n = F.count(c)
+    return F.when(n > 0, scaled_sum(c, places) / (n * float(10**places)))
