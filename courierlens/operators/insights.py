@@ -168,17 +168,16 @@ def insights_from(
     ]
     figures = _side_figures(sets, dims, [c for _, c in chosen], config)
     rows = F.array(*[_insight_row(ordinal, c) for ordinal, c in chosen])
-    # The dinner insight needs only its own hours; the others need both sides.
-    return (
-        figures.select(F.inline(rows))
-        .where(F.col("first_mean").isNotNull())
-        .where(F.col("second_mean").isNotNull() | (F.col("name") == "dinner"))
-        .orderBy("ordinal")
+    present = _enough(
+        F.col("name"),
+        F.col("first_mean").isNotNull(),
+        F.col("second_mean").isNotNull(),
     )
+    return figures.select(F.inline(rows)).where(present).orderBy("ordinal")
 
 
 def comparison_sizes(df: DataFrame, config: SlaConfig = DEFAULT) -> DataFrame:
-    """Rows on each side of every comparison, those lacking a side dropped."""
+    """Rows on each side of the comparisons that have what they need."""
     sides = df.agg(*[
         F.count_if(mask).alias(f"{c.name}_{side}")
         for c in COMPARISONS
@@ -192,8 +191,15 @@ def comparison_sizes(df: DataFrame, config: SlaConfig = DEFAULT) -> DataFrame:
         )
         for c in COMPARISONS
     ])
-    both = (F.col("first_orders") > 0) & (F.col("second_orders") > 0)
-    return sides.select(F.inline(rows)).where(both)
+    present = _enough(
+        F.col("comparison"), F.col("first_orders") > 0, F.col("second_orders") > 0
+    )
+    return sides.select(F.inline(rows)).where(present)
+
+
+def _enough(name: Column, first: Column, second: Column) -> Column:
+    """Both sides occur; the dinner insight needs only its own hours."""
+    return first & (second | (name == "dinner"))
 
 
 def _masks(c: Comparison, config: SlaConfig) -> dict[str, Column]:

@@ -18,7 +18,9 @@ from courierlens.operators.time_counts import (
     mean_time,
     median_time,
     order_count,
+    set_id,
     summarise,
+    time_count_sets,
     time_counts,
     total,
     violations,
@@ -142,18 +144,24 @@ def category_from(
     )
 
 
-def group_stats(df: DataFrame, dim: str) -> DataFrame:
-    """Count, mean and median of delivery time by one dimension."""
+def group_stats(df: DataFrame, *dims: str) -> DataFrame:
+    """Count, mean and median of delivery time by each dimension, one scan."""
+    names = list(dims)
+    sets = time_count_sets(df, names)
+    value, dimension = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for dim in names:
+        own = F.col("set_id") == set_id(names, dim)
+        value = F.when(own, F.col(dim).cast("string")).otherwise(value)
+        dimension = F.when(own, dim).otherwise(dimension)
     return (
-        time_counts(df, dim)
-        .where(F.col(dim).isNotNull())
-        .groupBy(dim)
+        sets.groupBy(dimension.alias("dimension"), value.alias("value"))
         .agg(
             order_count().alias("count"),
             mean_time().alias("mean"),
             median_time().alias("median"),
         )
-        .orderBy(dim)
+        .where(F.col("value").isNotNull())
+        .orderBy("dimension", "value")
     )
 
 
@@ -167,22 +175,27 @@ def group_share(df: DataFrame, dim: str) -> DataFrame:
     )
 
 
-def conditional_rate(
-    df: DataFrame, dim: str, values: Sequence, threshold: float = DEFAULT.threshold
+def conditional_rates(
+    df: DataFrame,
+    values: dict[str, Sequence],
+    threshold: float = DEFAULT.threshold,
 ) -> DataFrame:
-    """Percentage over the threshold within each of the given values."""
-    return (
-        df.where(F.col(dim).isin(*values))
-        .groupBy(dim)
-        .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            F.count_if(F.col(TIME) > threshold).alias("sla_violations"),
-        )
-        .withColumn(
-            "sla_violation_rate",
-            percent(F.col("sla_violations"), F.col("order_count")),
+    """Percentage over the threshold within each named value, in one pass."""
+    late = (F.col(TIME) > threshold).cast("int")
+    cases = [(dim, v) for dim, chosen in values.items() for v in chosen]
+    rates = df.agg(*[
+        F.avg(F.when(F.col(dim) == v, late)).alias(f"case{i}")
+        for i, (dim, v) in enumerate(cases)
+    ])
+    rows = F.array(*[
+        F.struct(
+            F.lit(dim).alias("dimension"),
+            F.lit(str(v)).alias("value"),
+            (F.col(f"case{i}") * 100).alias("sla_violation_rate"),
         )
-    )
+        for i, (dim, v) in enumerate(cases)
+    ])
+    return rates.select(F.inline(rows))
 
 
 def mean_of_hourly(

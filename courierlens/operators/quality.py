@@ -81,6 +81,16 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
+def numeric_view(raw: DataFrame) -> DataFrame:
+    """The raw log's numeric columns, age and rating read as numbers."""
+    as_number = {
+        name: number(clean_text(F.col(name)))
+        for name in ("Delivery_person_Age", "Delivery_person_Ratings")
+    }
+    numeric = raw.withColumns(as_number)
+    return numeric.select(*[_quoted(c) for c in numeric_columns(numeric)])
+
+
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column."""
     names = columns or numeric_columns(df)

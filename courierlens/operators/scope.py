@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courierlens.functions.rounding import percent
@@ -83,9 +83,14 @@ def outside_hours(
     return df.where(~F.col("order_hour").isin(*hours))
 
 
-def distinct_options(df: DataFrame, column: str) -> DataFrame:
-    """Sorted values of a dimension that occur in the data."""
-    return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
+def distinct_options(df: DataFrame, *columns: str) -> DataFrame:
+    """Sorted values that occur in each dimension, from one scan for all."""
+    pairs = [
+        F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value"))
+        for c in columns
+    ]
+    options = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    return options.distinct().orderBy("dimension", "value")
 
 
 def domain_order(column: Column, domain: tuple[str, ...] = TRAFFIC_DOMAIN) -> Column:
@@ -110,6 +115,12 @@ def in_domain_order(
     return df.where(c.isin(*domain)).orderBy(domain_order(c, domain))
 
 
+def numbered(aggregated: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows of a small aggregated table with their place in a sort order."""
+    place = F.row_number().over(Window.orderBy(*order))
+    return aggregated.withColumn("position", place)
+
+
 def at_least(
     df: DataFrame, column: str, config: SlaConfig = DEFAULT
 ) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from courierlens.settings import (
     DEFAULT,
@@ -223,3 +225,35 @@ def run_pack(
         except PySparkException as error:
             outcomes[name] = Outcome(query.title, None, str(error))
     return outcomes
+
+
+def pack_rows(
+    spark: SparkSession,
+    deliveries: DataFrame | None = None,
+    pack: dict[str, PackQuery] | None = None,
+) -> DataFrame:
+    """All reports in one long table: a row per report, key and measure."""
+    queries = pack or query_pack()
+    parts = [
+        _long_rows(number, name, queries[name], outcome.table)
+        for number, (name, outcome) in enumerate(
+            run_pack(spark, deliveries, queries).items(), 1
+        )
+        if outcome.table is not None
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _long_rows(number: int, name: str, query: PackQuery, table: DataFrame) -> DataFrame:
+    keys = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in query.keys]
+    measures = F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value"))
+        for m in query.measures
+    ])
+    return table.select(
+        F.lit(number).alias("query_no"),
+        F.lit(name).alias("query_name"),
+        F.lit(query.title).alias("title"),
+        F.concat_ws("/", *keys).alias("row_key"),
+        F.inline(measures),
+    )
