@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courierlens.functions import features
@@ -312,17 +312,19 @@ def histogram_from(
     max_bins: int = HISTOGRAM_MAX_BINS,
 ) -> DataFrame:
     """Orders per bin of delivery time, with the median and threshold marks."""
-    spread = F.max(TIME) - F.min(TIME)
-    width = counts.agg(bin_width(spread, max_bins)).scalar()
-    median = counts.agg(median_time()).scalar()
+    # The counts are one row per minute value, so a window over all is small.
+    everything = Window.partitionBy()
+    spread = F.max(TIME).over(everything) - F.min(TIME).over(everything)
+    marked = counts.select(
+        TIME,
+        "n",
+        bin_width(spread, max_bins).alias("bin_width"),
+        median_time().over(everything).alias("median_minutes"),
+    )
     start = F.floor(F.col(TIME) / F.col("bin_width")) * F.col("bin_width")
     return (
-        counts.withColumn("bin_width", width)
-        .groupBy(start.alias("bin_start"), "bin_width")
+        marked.groupBy(start.alias("bin_start"), "bin_width", "median_minutes")
         .agg(F.sum("n").alias("order_count"))
-        .withColumns({
-            "median_minutes": median,
-            "sla_threshold": F.lit(threshold),
-        })
+        .withColumn("sla_threshold", F.lit(threshold))
         .orderBy("bin_start")
     )

@@ -72,15 +72,13 @@ def known(df: DataFrame, *columns: str) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def in_hours(df: DataFrame, hours: tuple[int, ...] = DEFAULT.dinner_hours) -> DataFrame:
-    return df.where(F.col("order_hour").isin(*hours))
+def in_hours(hours: tuple[int, ...] = DEFAULT.dinner_hours) -> Column:
+    return F.col("order_hour").isin(*hours)
 
 
-def outside_hours(
-    df: DataFrame, hours: tuple[int, ...] = DEFAULT.dinner_hours
-) -> DataFrame:
+def outside_hours(hours: tuple[int, ...] = DEFAULT.dinner_hours) -> Column:
     """Known hours outside the given set; an unknown hour is in neither."""
-    return df.where(~F.col("order_hour").isin(*hours))
+    return ~F.col("order_hour").isin(*hours)
 
 
 def distinct_options(df: DataFrame, *columns: str) -> DataFrame:

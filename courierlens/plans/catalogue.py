@@ -331,12 +331,10 @@ def filter_queries() -> dict[str, Query]:
             )
         ),
         "filter_hours": over_fact(
-            lambda df: scope.in_hours(df)
-            .select("order_id", "order_hour", F.lit("dinner").alias("side"))
-            .unionByName(
-                scope.outside_hours(df).select(
-                    "order_id", "order_hour", F.lit("other").alias("side")
-                )
+            lambda df: df.where(scope.in_hours() | scope.outside_hours()).select(
+                "order_id",
+                "order_hour",
+                F.when(scope.in_hours(), "dinner").otherwise("other").alias("side"),
             )
         ),
         "filter_having": over_fact(scope.at_least, "delivery_person_id"),

@@ -600,7 +600,7 @@ def statements() -> dict[str, str]:
         ),
         "dq_issue_audit": from_parsed(" UNION ALL ".join((
             issue("day_fraction_order_times", DECIMAL_TIME),
-            issue("past_midnight_pickup_times", "\"Time_Order_picked\" LIKE '24:%'"),
+            issue("past_midnight_pickup_times", "\"r_Time_Order_picked\" LIKE '24:%'"),
             issue("missing_order_times", '"r_Time_Orderd" IS NULL'),
             issue("zero_restaurant_coordinates",
                   '"r_Restaurant_latitude" = 0 OR "r_Restaurant_longitude" = 0'),
