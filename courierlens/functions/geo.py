@@ -33,4 +33,7 @@ def haversine_km(
     sin_phi, sin_lambda = F.sin(half_phi), F.sin(half_lambda)
     chord = sin_phi * sin_phi + F.cos(phi1) * F.cos(phi2) * sin_lambda * sin_lambda
     arc = 2 * F.asin(F.sqrt(F.least(F.greatest(chord, F.lit(0.0)), F.lit(1.0))))
-    return F.when(gps_valid(lat1, lon1, lat2, lon2), half_even(radius_km * arc, 2))
+    # greatest and least skip nulls, so a missing point must be ruled out here.
+    known = lat1.isNotNull() & lon1.isNotNull()
+    valid = gps_valid(lat1, lon1, lat2, lon2) & known
+    return F.when(valid, half_even(radius_km * arc, 2))
