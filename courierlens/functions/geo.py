@@ -19,6 +19,10 @@ def gps_valid(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return restaurant & F.coalesce((lat2 > 1) & (lon2 > 1), F.lit(False))
 
 
+def _half_sine_squared(angle: Column) -> Column:
+    return F.pow(F.sin(angle / 2.0), 2)
+
+
 def haversine_km(
     lat1: Column,
     lon1: Column,
@@ -28,10 +32,10 @@ def haversine_km(
 ) -> Column:
     """Kilometres at two decimals, null where the coordinates are not valid."""
     phi1, phi2 = F.radians(F.abs(lat1)), F.radians(F.abs(lat2))
-    half_phi = (phi2 - phi1) / 2.0
-    half_lambda = (F.radians(F.abs(lon2)) - F.radians(F.abs(lon1))) / 2.0
-    sin_phi, sin_lambda = F.sin(half_phi), F.sin(half_lambda)
-    chord = sin_phi * sin_phi + F.cos(phi1) * F.cos(phi2) * sin_lambda * sin_lambda
+    lambda1, lambda2 = F.radians(F.abs(lon1)), F.radians(F.abs(lon2))
+    chord = _half_sine_squared(phi2 - phi1) + F.cos(phi1) * F.cos(
+        phi2
+    ) * _half_sine_squared(lambda2 - lambda1)
     arc = 2 * F.asin(F.sqrt(F.least(F.greatest(chord, F.lit(0.0)), F.lit(1.0))))
     # greatest and least skip nulls, so a missing point must be ruled out here.
     known = lat1.isNotNull() & lon1.isNotNull()

@@ -7,14 +7,23 @@ from pyspark.sql import functions as F
 
 from courierlens.settings import MISSING_MARKERS, UNKNOWN, WHITESPACE
 
-# Plain decimal notation with an optional exponent. Spark's own cast is wider:
-# it also takes '1d', 'inf' and 'nan'.
-DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+ASCII_WHITESPACE = "".join(c for c in WHITESPACE if c.isascii())
+
+# Characters of a decimal number. The cast itself checks their order; this keeps
+# out what only Spark takes for a number: '1d', 'inf', 'nan', '0x1p3'.
+NUMBER_CHARACTERS = r"^[\s0-9eE.+-]+$"
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of white space; plain ``trim`` takes only spaces."""
-    return F.btrim(c.cast("string"), F.lit(WHITESPACE))
+    """Trim every kind of white space; plain ``trim`` takes only spaces.
+
+    Text without a multi-byte character, nearly all of it, is trimmed with the
+    short ASCII set: testing a character costs time in the length of the set.
+    """
+    text = c.cast("string")
+    plain = F.btrim(text, F.lit(ASCII_WHITESPACE))
+    one_byte_each = F.octet_length(text) == F.char_length(text)
+    return F.when(one_byte_each, plain).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def is_missing(c: Column) -> Column:
@@ -36,5 +45,5 @@ def or_unknown(text: Column) -> Column:
 
 
 def number(text: Column) -> Column:
-    """Double from trimmed text; anything unparseable becomes null."""
-    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
+    """Double from text; anything unparseable becomes null."""
+    return F.when(text.rlike(NUMBER_CHARACTERS), text.try_cast("double"))

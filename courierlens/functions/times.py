@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from courierlens.functions.text import DECIMAL_TEXT
+from courierlens.functions.text import number
 from courierlens.settings import MINUTES_PER_DAY, SECONDS_PER_DAY
 
 
@@ -20,31 +20,33 @@ def second_of_day(text: Column) -> Column:
     Staying within one day keeps a value of any size exact; text beyond the
     double range is null.
     """
-    days = text.try_cast("double")
+    days = number(text)
     second = F.pmod(F.rint(days * 24 * 3600), F.lit(float(SECONDS_PER_DAY)))
     return F.when(F.abs(days) < 1e300, second)
 
 
-def _clock_piece(text: Column, position: int) -> Column:
-    return F.split_part(text, F.lit(":"), F.lit(position)).try_cast("bigint")
-
+def clock_parts(text: Column) -> Column:
+    """Hour 0-23 and minute of a clock text, as a struct of ``h`` and ``m``.
 
-def hour_part(text: Column) -> Column:
-    """Hour 0-23 of a clock text, past-midnight hours wrapped round."""
+    Hours past midnight wrap round; the minute stays as written, since a clock
+    text may carry 60 or more.
+    """
+    hour, minute = _colon_piece(text, 1), _colon_piece(text, 2)
+    second = second_of_day(text)
     return (
-        F.when(text.contains(":"), F.pmod(_clock_piece(text, 1), F.lit(24)))
-        .when(text.rlike(DECIMAL_TEXT), F.floor(second_of_day(text) / 3600))
-        .cast("int")
+        F.when(text.contains(":"), _parts(F.pmod(hour, F.lit(24)), minute))
+        .otherwise(
+            _parts(F.floor(second / 3600), F.floor(F.pmod(second, F.lit(3600.0)) / 60))
+        )
     )
 
 
-def minute_part(text: Column) -> Column:
-    """Minute as written; a clock text may carry 60 or more and keeps it."""
-    within_hour = F.pmod(second_of_day(text), F.lit(3600.0))
-    return (
-        F.when(text.contains(":"), _clock_piece(text, 2))
-        .when(text.rlike(DECIMAL_TEXT), F.floor(within_hour / 60))
-    )
+def _colon_piece(text: Column, position: int) -> Column:
+    return F.split_part(text, F.lit(":"), F.lit(position)).try_cast("bigint")
+
+
+def _parts(hour: Column, minute: Column) -> Column:
+    return F.struct(hour.cast("int").alias("h"), minute.alias("m"))
 
 
 def two_digits(n: Column) -> Column:
@@ -53,26 +55,24 @@ def two_digits(n: Column) -> Column:
     return F.lpad(digits, F.greatest(F.length(digits), F.lit(2)), F.lit("0"))
 
 
-def clock(hour: Column, minute: Column) -> Column:
+def clock(parts: Column) -> Column:
     """``HH:MM``, null when either part is null."""
-    return F.concat(two_digits(hour), F.lit(":"), two_digits(minute))
+    return F.concat(two_digits(parts["h"]), F.lit(":"), two_digits(parts["m"]))
 
 
-def known_hour(hour: Column, minute: Column) -> Column:
+def known_hour(parts: Column) -> Column:
     """The hour of a valid clock time: without a minute there is no time."""
-    return F.when(minute.isNotNull(), hour)
+    return F.when(parts["m"].isNotNull(), parts["h"])
 
 
 def parse_clock(text: Column) -> Column:
     """Any accepted clock notation to ``HH:MM``; the rest becomes null."""
-    return clock(hour_part(text), minute_part(text))
+    return clock(clock_parts(text))
 
 
-def minutes_between(
-    hour1: Column, minute1: Column, hour2: Column, minute2: Column
-) -> Column:
+def minutes_between(start: Column, end: Column) -> Column:
     """Minutes from one clock time to the next; a negative gap passes midnight."""
-    gap = (hour2 * 60 + minute2) - (hour1 * 60 + minute1)
+    gap = (end["h"] * 60 + end["m"]) - (start["h"] * 60 + start["m"])
     return F.when(gap < 0, gap + MINUTES_PER_DAY).otherwise(gap).cast("int")
 
 

@@ -17,6 +17,13 @@ from courierlens.settings import DEFAULT, SlaConfig
 RAW_TEXT_COLUMNS = [
     f.name for f in RAW_SCHEMA if isinstance(f.dataType, T.StringType)
 ]
+# Read through a pattern that rejects every missing marker by itself.
+PATTERN_COLUMNS = {
+    "Delivery_person_Age",
+    "Delivery_person_Ratings",
+    "Time_Orderd",
+    "Time_Order_picked",
+}
 
 
 def strip_column_names(df: DataFrame) -> DataFrame:
@@ -37,28 +44,26 @@ def normalise_text(raw: DataFrame) -> DataFrame:
     """Trim all text columns and turn missing markers into nulls.
 
     Two projections: each later rule then reads a finished column instead of
-    repeating the trim inside its own expression.
+    repeating the trim inside its own expression. Clock times and numbers keep
+    their markers, which no number or clock pattern matches.
     """
     present = [name for name in RAW_TEXT_COLUMNS if name in raw.columns]
     trimmed = raw.withColumns({name: text.strip(F.col(name)) for name in present})
-    return trimmed.withColumns(
-        {name: text.null_if_missing(F.col(name)) for name in present}
-    )
-
-
-def whole_number(c: Column) -> Column:
-    """Truncate to an int; text that is no number fails the run."""
-    return c.cast("double").cast("int")
+    return trimmed.withColumns({
+        name: text.null_if_missing(F.col(name))
+        for name in present
+        if name not in PATTERN_COLUMNS
+    })
 
 
 def required_int(c: Column, name: str) -> Column:
-    """Whole number that must be there: a null fails the run as well."""
+    """Whole number that must be there: a null or bad value fails the run."""
     problem = F.raise_error(F.lit(f"{name}: value is missing"))
-    return F.coalesce(whole_number(c), problem.cast("int"))
+    return F.coalesce(c.cast("int"), problem.cast("int"))
 
 
 def filled_count(c: Column, fill: int = DEFAULT.multiple_deliveries_fill) -> Column:
-    return F.coalesce(whole_number(c), F.lit(fill))
+    return F.coalesce(c.cast("int"), F.lit(fill))
 
 
 def capped_rating(rating: Column, cap: float = DEFAULT.rating_cap) -> Column:
@@ -81,21 +86,17 @@ def distance_km(config: SlaConfig = DEFAULT) -> Column:
 
 
 def add_clock_parts(normalised: DataFrame) -> DataFrame:
-    """Hour and minute of both clock times as their own columns."""
-    ordered, picked = F.col("Time_Orderd"), F.col("Time_Order_picked")
+    """Hour and minute of both clock times, each pair in a column of its own."""
     return normalised.withColumns({
-        "ordered_h": times.hour_part(ordered),
-        "ordered_m": times.minute_part(ordered),
-        "picked_h": times.hour_part(picked),
-        "picked_m": times.minute_part(picked),
+        "ordered": times.clock_parts(F.col("Time_Orderd")),
+        "picked": times.clock_parts(F.col("Time_Order_picked")),
     })
 
 
 def parse_columns(with_clock: DataFrame, config: SlaConfig = DEFAULT) -> DataFrame:
     """Parse, coerce and fill: one cleaned column per input."""
     col = F.col
-    ordered = (col("ordered_h"), col("ordered_m"))
-    picked = (col("picked_h"), col("picked_m"))
+    ordered, picked = col("ordered"), col("picked")
     return with_clock.select(
         order_key(col("ID")).alias("order_id"),
         col("Delivery_person_ID").alias("delivery_person_id"),
@@ -107,10 +108,10 @@ def parse_columns(with_clock: DataFrame, config: SlaConfig = DEFAULT) -> DataFra
         col("Delivery_location_longitude").alias("delivery_location_longitude"),
         distance_km(config).alias("delivery_distance_km"),
         times.parse_date(col("Order_Date")).alias("order_date"),
-        times.clock(*ordered).alias("time_ordered"),
-        times.clock(*picked).alias("time_order_picked"),
-        times.known_hour(*ordered).alias("order_hour"),
-        times.minutes_between(*ordered, *picked).alias("pickup_delay_minutes"),
+        times.clock(ordered).alias("time_ordered"),
+        times.clock(picked).alias("time_order_picked"),
+        times.known_hour(ordered).alias("order_hour"),
+        times.minutes_between(ordered, picked).alias("pickup_delay_minutes"),
         text.or_unknown(col("Weather_conditions")).alias("weather"),
         text.or_unknown(col("Road_traffic_density")).alias("traffic_density"),
         required_int(col("Vehicle_condition"), "Vehicle_condition").alias(

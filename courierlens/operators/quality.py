@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courierlens.functions.rounding import percent
-from courierlens.functions.text import DECIMAL_TEXT, clean_text, is_missing, number
+from courierlens.functions.text import clean_text, is_missing, number
+from courierlens.operators.cleaning import normalise_text
+from courierlens.operators.metrics import distance_totals
 from courierlens.operators.quantiles import exact_percentiles
 from courierlens.operators.time_counts import (
     mean_time,
@@ -16,7 +18,6 @@ from courierlens.operators.time_counts import (
     time_counts,
     violations,
 )
-from courierlens.operators.metrics import distance_totals
 from courierlens.settings import DEFAULT, SlaConfig
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -149,21 +150,23 @@ def quality_report(
 def issue_audit(raw: DataFrame) -> DataFrame:
     """How many raw rows each cleaning rule applies to, in one pass."""
     col = F.col
-    ordered, picked = clean_text(col("Time_Orderd")), clean_text(col("Time_Order_picked"))
+    ordered = col("Time_Orderd")
     zero_gps = (col("Restaurant_latitude") == 0) | (col("Restaurant_longitude") == 0)
     rules = {
-        "day_fraction_order_times": ordered.rlike(DECIMAL_TEXT),
-        "past_midnight_pickup_times": picked.startswith("24:"),
-        "missing_order_times": ordered.isNull(),
+        "day_fraction_order_times": number(ordered).isNotNull(),
+        "past_midnight_pickup_times": col("Time_Order_picked").startswith("24:"),
+        "missing_order_times": is_missing(ordered),
         "zero_restaurant_coordinates": zero_gps,
         "ratings_above_cap":
-            number(clean_text(col("Delivery_person_Ratings"))) > DEFAULT.rating_cap,
-        "riders_under_18": number(clean_text(col("Delivery_person_Age"))) < 18,
-        "missing_city": clean_text(col("City")).isNull(),
-        "missing_weather": clean_text(col("Weather_conditions")).isNull(),
-        "missing_traffic": clean_text(col("Road_traffic_density")).isNull(),
-        "missing_festival": clean_text(col("Festival")).isNull(),
+            number(col("Delivery_person_Ratings")) > DEFAULT.rating_cap,
+        "riders_under_18": number(col("Delivery_person_Age")) < 18,
+        "missing_city": col("City").isNull(),
+        "missing_weather": col("Weather_conditions").isNull(),
+        "missing_traffic": col("Road_traffic_density").isNull(),
+        "missing_festival": col("Festival").isNull(),
         "missing_multiple_deliveries": col("multiple_deliveries").isNull(),
     }
-    counts = raw.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
+    counts = normalise_text(raw).agg(
+        *[F.count_if(rule).alias(name) for name, rule in rules.items()]
+    )
     return _as_rows(counts, "issue", "row_count")

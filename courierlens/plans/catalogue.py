@@ -18,6 +18,7 @@ from courierlens.operators import cleaning, display, insights, metrics, quality,
 from courierlens.operators.time_counts import set_of, time_count_sets
 from courierlens.plans import query_pack as pack
 from courierlens.plans.cleaning_run import event_deliveries, event_table_path
+from courierlens.session import tuned
 from courierlens.settings import DEFAULT, DINNER_LABEL, TRAFFIC_DOMAIN
 from courierlens.sources import fact_table, order_log, shared
 from courierlens.sources.event_orders import load_orders
@@ -42,7 +43,7 @@ def scan_raw(spark: SparkSession, data_dir: str) -> DataFrame:
     """Write the raw log as CSV once, then read it as a user's log is read."""
     path = event_table_path(spark, data_dir, "raw_csv")
     if not shared.is_complete(spark, path):
-        order_log.write_raw(load_orders(spark, data_dir), path)
+        order_log.write_raw(raw_orders(spark, data_dir), path)
     return order_log.scan_raw(spark, path)
 
 
@@ -107,8 +108,12 @@ def pack_query(name: str) -> Query:
 # --- shorthands ---------------------------------------------------------------
 
 
+def raw_orders(spark: SparkSession, data_dir: str) -> DataFrame:
+    return load_orders(tuned(spark), data_dir)
+
+
 def over_raw(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, data_dir: operator(load_orders(spark, data_dir))
+    return lambda spark, data_dir: operator(raw_orders(spark, data_dir))
 
 
 def over_fact(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
@@ -155,14 +160,12 @@ def chart(maker: Callable[[DataFrame], DataFrame], dim: str) -> Query:
 
 # --- the raw columns behind the rules -------------------------------------------
 
-def ordered() -> tuple[Column, Column]:
-    written = col("Time_Orderd")
-    return times.hour_part(written), times.minute_part(written)
+def ordered() -> Column:
+    return times.clock_parts(col("Time_Orderd"))
 
 
-def picked() -> tuple[Column, Column]:
-    written = col("Time_Order_picked")
-    return times.hour_part(written), times.minute_part(written)
+def picked() -> Column:
+    return times.clock_parts(col("Time_Order_picked"))
 
 
 def date() -> Column:
@@ -192,7 +195,7 @@ def day_fractions(raw: DataFrame) -> DataFrame:
     written = col("Time_Orderd")
     return (
         cleaning.normalise_text(raw)
-        .where(written.rlike(text.DECIMAL_TEXT))
+        .where(text.number(written).isNotNull())
         .select(
             cleaning.order_key(col("ID")).alias("order_id"),
             times.second_of_day(written).alias("second_of_day"),
@@ -228,13 +231,14 @@ def cleaning_queries() -> dict[str, Query]:
         "clean_weekend": rule(is_weekend=lambda: times.weekend_flag(date())),
         "clean_date_format": rule(order_date_text=lambda: times.iso_date(date())),
         "clean_time_parse": rule(
-            time_ordered=lambda: times.clock(*ordered()), time_order_picked=lambda: times.clock(*picked())
+            time_ordered=lambda: times.clock(ordered()),
+            time_order_picked=lambda: times.clock(picked()),
         ),
         "clean_excel_fraction": over_raw(day_fractions),
         "clean_midnight_rollover": over_raw(past_midnight),
-        "clean_order_hour": rule(order_hour=lambda: times.known_hour(*ordered())),
+        "clean_order_hour": rule(order_hour=lambda: times.known_hour(ordered())),
         "clean_pickup_delay": rule(
-            pickup_delay_minutes=lambda: times.minutes_between(*ordered(), *picked())
+            pickup_delay_minutes=lambda: times.minutes_between(ordered(), picked())
         ),
         "clean_gps_valid": rule(gps_valid=lambda: geo.gps_valid(*gps())),
         "clean_haversine": rule(delivery_distance_km=lambda: geo.haversine_km(*gps())),
@@ -431,7 +435,7 @@ def report_queries() -> dict[str, Query]:
     }
     return {
         "dq_report": lambda spark, data_dir: quality.quality_report(
-            load_orders(spark, data_dir), event_deliveries(spark, data_dir)
+            raw_orders(spark, data_dir), event_deliveries(spark, data_dir)
         ),
         "profile_shape": over_raw(quality.shape),
         "profile_schema": over_fact(quality.schema_rows),

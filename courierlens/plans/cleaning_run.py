@@ -8,6 +8,7 @@ from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.operators.cleaning import clean_orders
+from courierlens.session import tuned
 from courierlens.settings import DEFAULT, SlaConfig
 from courierlens.sources import event_orders, fact_table, order_log, shared
 
@@ -29,7 +30,7 @@ def run_cleaning(
     return fact_table.build_if_missing(
         spark,
         fact_path,
-        lambda: clean_orders(order_log.scan_raw(spark, raw_path), config),
+        lambda: clean_orders(order_log.scan_raw(tuned(spark), raw_path), config),
         refresh=refresh,
         input_bytes=shared.stored_version(spark, raw_path)[0],
     )
@@ -55,7 +56,7 @@ def event_deliveries(spark: SparkSession, data_dir: str) -> DataFrame:
     needs. Without a shared folder the rows are derived anew by each query.
     """
     def build() -> DataFrame:
-        return clean_orders(event_orders.load_orders(spark, data_dir))
+        return clean_orders(event_orders.load_orders(tuned(spark), data_dir))
 
     if shared.shared_root(spark) is None:
         return build()

@@ -27,7 +27,7 @@ def _typed(field: T.StructField):
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.StringType):
         return text.null_if_missing(c).alias(field.name)
-    return text.number(text.strip(c)).cast(field.dataType).alias(field.name)
+    return text.number(c).cast(field.dataType).alias(field.name)
 
 
 def write_raw(df: DataFrame, path: str) -> None:
