@@ -92,26 +92,42 @@ def numeric_view(raw: DataFrame) -> DataFrame:
     return numeric.select(*[_quoted(c) for c in numeric_columns(numeric)])
 
 
+DESCRIBE_SCHEMA = (
+    "column_name string, count bigint, mean double, std double, min double, "
+    "q1 double, median double, q3 double, max double"
+)
+
+
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles per column."""
+    """Count, mean, sample deviation, extremes and exact quartiles per column.
+
+    One pass for the plain statistics, whose extremes then start the search for
+    the quartiles. Only these few figures per column come to the driver.
+    """
     names = columns or numeric_columns(df)
-    quartiles = exact_percentiles(df, names, QUARTILES)
-    stats = df.agg(*[
+    row = df.agg(*[
         F.struct(
-            F.lit(name).alias("column_name"),
             F.count(_quoted(name)).alias("count"),
             F.round(F.avg(_quoted(name)), 6).alias("mean"),
             F.round(F.stddev_samp(_quoted(name)), 6).alias("std"),
             F.min(_quoted(name)).cast("double").alias("min"),
-            *[
-                F.round(F.lit(q).cast("double"), 6).alias(label)
-                for label, q in zip(("q1", "median", "q3"), quartiles[name])
-            ],
             F.max(_quoted(name)).cast("double").alias("max"),
         ).alias(name)
         for name in names
-    ])
-    return stats.select(F.inline(F.array(*[_quoted(name) for name in names])))
+    ]).first()
+    spans = {name: (row[name]["count"], row[name]["min"], row[name]["max"])
+             for name in names}
+    quartiles = exact_percentiles(df, spans, QUARTILES)
+    rows = [
+        (
+            name,
+            *(row[name][figure] for figure in ("count", "mean", "std", "min")),
+            *(None if q is None else round(q, 6) for q in quartiles[name]),
+            row[name]["max"],
+        )
+        for name in names
+    ]
+    return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)
 
 
 def quality_report(

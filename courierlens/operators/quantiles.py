@@ -31,12 +31,17 @@ class Bracket:
     below: int
 
 
+Span = tuple[int, float | None, float | None]
+
+
 def exact_percentiles(
-    df: DataFrame, columns: Sequence[str], points: Sequence[float]
+    df: DataFrame, spans: dict[str, Span], points: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated percentiles per column; None for an empty one."""
-    numeric = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    spans = _spans(numeric, columns)
+    """Linearly interpolated percentiles per column; None for an empty one.
+
+    ``spans`` holds the count, minimum and maximum of each column (``spans_of``).
+    """
+    numeric = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in spans])
     wanted: dict[tuple[str, int], Bracket] = {}
     for column, (n, low, high) in spans.items():
         for point in points if n else ():
@@ -51,10 +56,14 @@ def exact_percentiles(
     }
 
 
-def _spans(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+def spans_of(df: DataFrame, columns: Sequence[str]) -> dict[str, Span]:
     """Row count, minimum and maximum of each column, from one row."""
     row = df.agg(*[
-        F.struct(F.count(f"`{c}`"), F.min(f"`{c}`"), F.max(f"`{c}`")).alias(c)
+        F.struct(
+            F.count(f"`{c}`"),
+            F.min(f"`{c}`").cast("double"),
+            F.max(f"`{c}`").cast("double"),
+        ).alias(c)
         for c in columns
     ]).first()
     return {c: tuple(row[c]) for c in columns}

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from courierlens.operators import insights, metrics, quality
-from courierlens.operators.quantiles import exact_percentiles
+from courierlens.operators.quantiles import exact_percentiles, spans_of
 from courierlens.operators.time_counts import set_of, time_count_sets, time_counts
 from courierlens.plans.query_pack import query_pack, run_query
 from courierlens.settings import SlaConfig
@@ -110,6 +110,10 @@ def numpy_percentiles(values, points):
     return [float(v) for v in np.percentile(values, [p * 100 for p in points])]
 
 
+def percentiles_of(df, points):
+    return exact_percentiles(df, spans_of(df, df.columns), points)
+
+
 POINTS = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
 
 
@@ -125,7 +129,7 @@ POINTS = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
 )
 def test_exact_percentiles_match_numpy(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = exact_percentiles(df, ["x"], POINTS)["x"]
+    got = percentiles_of(df, POINTS)["x"]
     assert got == pytest.approx(numpy_percentiles(values, POINTS), rel=1e-12, abs=1e-9)
 
 
@@ -133,7 +137,7 @@ def test_exact_percentiles_with_one_value_in_a_third_of_the_rows(spark):
     rng = random.Random(7)
     values = [12.5 if i % 3 == 0 else rng.gauss(20, 9) for i in range(5000)]
     df = spark.createDataFrame([(v, None) for v in values], "x double, y double")
-    got = exact_percentiles(df.repartition(4), ["x", "y"], POINTS)
+    got = percentiles_of(df.repartition(4), POINTS)
     assert got["x"] == pytest.approx(numpy_percentiles(values, POINTS), rel=1e-12)
     assert got["y"] == [None] * len(POINTS)
 
@@ -141,7 +145,7 @@ def test_exact_percentiles_with_one_value_in_a_third_of_the_rows(spark):
 def test_whole_double_range(spark):
     values = [-1.7e308, -1.0, 0.0, 1.0, 1.7e308]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    assert exact_percentiles(df, ["x"], (0.25, 0.5, 0.75))["x"] == [-1.0, 0.0, 1.0]
+    assert percentiles_of(df, (0.25, 0.5, 0.75))["x"] == [-1.0, 0.0, 1.0]
 
 
 def test_describe_of_an_empty_table(fact):
