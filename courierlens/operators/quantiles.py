@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil, floor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICES = 1024
@@ -77,33 +77,37 @@ def _narrow(
         {b for b in wanted.values() if b.low < b.high},
         key=lambda b: (b.column, b.low),
     )
-    places = [_slice_of(b, i) for i, b in enumerate(open_brackets)]
-    slices: dict[int, list] = {}
+    columns = sorted({b.column for b in open_brackets})
     counted = (
-        df.select(F.inline(F.array(*places)))
-        .where(F.col("value").isNotNull())
-        .groupBy("bracket", "slice")
+        df.unpivot([], [f"`{c}`" for c in columns], "column", "value")
+        .select(_slot(open_brackets).alias("slot"), "value")
+        .where(F.col("slot").isNotNull())
+        .groupBy("slot")
         .agg(F.count("value"), F.min("value"), F.max("value"))
     )
-    for bracket, _, n, low, high in sorted(counted.collect()):
-        slices.setdefault(bracket, []).append((n, low, high))
-    by_bracket = {b: slices[i] for i, b in enumerate(open_brackets)}
+    slices: dict[Bracket, list] = {b: [] for b in open_brackets}
+    for slot, n, low, high in sorted(counted.collect()):
+        slices[open_brackets[slot // SLICES]].append((n, low, high))
     return {
-        (column, rank): _holding(b, by_bracket[b], rank) if b.low < b.high else b
+        (column, rank): _holding(b, slices[b], rank) if b in slices else b
         for (column, rank), b in wanted.items()
     }
 
 
-def _slice_of(b: Bracket, index: int):
-    """Struct of bracket, slice and value; the value is null outside it."""
-    c = F.col(f"`{b.column}`")
-    # Halving first keeps the width finite even across the whole double range.
-    share = (c / 2 - b.low / 2) / (b.high / 2 - b.low / 2)
-    return F.struct(
-        F.lit(index).alias("bracket"),
-        F.least(F.floor(share * SLICES), F.lit(SLICES - 1)).alias("slice"),
-        F.when(c.between(b.low, b.high), c).alias("value"),
-    )
+def _slot(brackets: list[Bracket]) -> Column:
+    """Number of the bracket and slice a value lies in, null outside all.
+
+    Brackets of one column never overlap, so a value has at most one.
+    """
+    value = F.col("value")
+    slot = F.lit(None).cast("bigint")
+    for index, b in enumerate(brackets):
+        # Halving first keeps the width finite even across the whole double range.
+        share = (value / 2 - b.low / 2) / (b.high / 2 - b.low / 2)
+        part = F.least(F.floor(share * SLICES), F.lit(SLICES - 1))
+        inside = (F.col("column") == b.column) & value.between(b.low, b.high)
+        slot = F.when(inside, index * SLICES + part).otherwise(slot)
+    return slot
 
 
 def _holding(b: Bracket, slices: list[tuple], rank: int) -> Bracket:

@@ -55,11 +55,18 @@ def apply_scope(df: DataFrame, scope: Scope) -> DataFrame:
     return df.where(scope.predicate())
 
 
-def scope_share(df: DataFrame, scope: Scope) -> DataFrame:
-    """Rows in scope, all rows and the share, in one pass."""
+def scope_share(
+    df: DataFrame, scope: Scope, weight: Column | None = None
+) -> DataFrame:
+    """Rows in scope, all rows and the share, in one pass.
+
+    ``weight`` is the number of orders a row stands for, one when not given.
+    """
+    orders = F.lit(1) if weight is None else weight
+    inside = F.sum(F.when(scope.predicate(), orders).otherwise(0))
     row = df.agg(
-        F.count_if(scope.predicate()).alias("filtered_orders"),
-        F.count(F.lit(1)).alias("all_orders"),
+        F.coalesce(inside, F.lit(0)).alias("filtered_orders"),
+        F.coalesce(F.sum(orders), F.lit(0)).alias("all_orders"),
     )
     share = percent(F.col("filtered_orders"), F.col("all_orders"))
     return row.withColumn(

@@ -18,23 +18,29 @@ from courierlens.settings import DEFAULT
 TIME = "delivery_time_min"
 
 
+def row_count() -> Column:
+    return F.count(F.lit(1))
+
+
 def time_counts(df: DataFrame, *dims: str, **extra: Column) -> DataFrame:
     """Rows per combination of ``dims`` and minute, as ``n``."""
     return df.groupBy(*dims, TIME).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[agg.alias(name) for name, agg in extra.items()],
+        row_count().alias("n"), *[agg.alias(name) for name, agg in extra.items()]
     )
 
 
-def time_count_sets(df: DataFrame, dims: list[str], **extra: Column) -> DataFrame:
+def time_count_sets(
+    df: DataFrame, dims: list[str], n: Column | None = None, **extra: Column
+) -> DataFrame:
     """``time_counts`` for each dimension on its own, in one scan.
 
     Grouping sets instead of one group-by per dimension; ``set_id`` tells which
-    dimension a row belongs to (see ``set_of``).
+    dimension a row belongs to (see ``set_of``). Rows that are counts already are
+    added up by passing the sum of them as ``n``.
     """
     return df.groupingSets([[d, TIME] for d in dims], *dims, TIME).agg(
         F.grouping_id().cast("int").alias("set_id"),
-        F.count(F.lit(1)).alias("n"),
+        (row_count() if n is None else n).alias("n"),
         *[agg.alias(name) for name, agg in extra.items()],
     )
 

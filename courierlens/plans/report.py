@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from courierlens.operators import display, insights, metrics
 from courierlens.operators.scope import Scope, apply_scope, scope_share
-from courierlens.operators.time_counts import set_of, time_count_sets
+from courierlens.operators.time_counts import set_of, time_count_sets, time_counts
 from courierlens.settings import DEFAULT, SlaConfig
 
 REPORT_DIMS = [
@@ -23,6 +23,18 @@ REPORT_DIMS = [
     "vehicle_condition",
     "festival",
 ]
+# Everything a scope can filter on and a report can group by.
+CUBE_DIMS = [*REPORT_DIMS, "peak_period", "vehicle_type", "order_type"]
+
+
+def report_cube(deliveries: DataFrame) -> DataFrame:
+    """Orders counted by every report and filter dimension and by minute.
+
+    Bounded by the sizes of the domains, whatever the number of orders. Written
+    once, it answers any scope at any threshold without the orders themselves;
+    only the riders still need those.
+    """
+    return time_counts(deliveries, *CUBE_DIMS, **metrics.distance_totals())
 
 
 @dataclass
@@ -44,6 +56,7 @@ def build_report(
     scope: Scope = Scope(),
     threshold: float | None = None,
     config: SlaConfig = DEFAULT,
+    cube: DataFrame | None = None,
 ) -> Report:
     """Every metric, chart and insight table of the filtered orders.
 
@@ -51,11 +64,18 @@ def build_report(
     dimensions takes one pass over the filtered rows; the counts, a few thousand
     rows whatever the number of orders, are cached and all tables but the riders
     and the scope share come from them. Use as a context manager to release them.
+    With a stored ``report_cube`` the counts are added up from it instead.
     """
     limit = config.threshold if threshold is None else threshold
     config = replace(config, threshold=limit)
     scoped = apply_scope(deliveries, scope)
-    counts = time_count_sets(scoped, REPORT_DIMS, **metrics.distance_totals())
+    if cube is None:
+        share = scope_share(deliveries, scope)
+        counts = time_count_sets(scoped, REPORT_DIMS, **metrics.distance_totals())
+    else:
+        share = scope_share(cube, scope, F.col("n"))
+        sums = {name: F.sum(name) for name in ("n", *metrics.distance_totals())}
+        counts = time_count_sets(apply_scope(cube, scope), REPORT_DIMS, **sums)
     counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
 
     def of(dim: str) -> DataFrame:
@@ -70,7 +90,7 @@ def build_report(
     riders = metrics.riders(scoped, config)
     minutes = of("is_peak_hour").groupBy("delivery_time_min").agg(F.sum("n").alias("n"))
     tables = {
-        "scope_share": scope_share(deliveries, scope),
+        "scope_share": share,
         "kpis": metrics.kpis_from(of("is_peak_hour"), limit),
         "hourly": hourly,
         "peak": peak,

@@ -14,17 +14,19 @@ from courierlens.sources import shared
 TABLE_NAME = "deliveries"
 
 
-def scan_clean(spark: SparkSession, path: str) -> DataFrame:
+def scan_clean(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The stored fact table, with its declared schema rather than a guess."""
-    return spark.read.schema(CLEAN_SCHEMA).parquet(path)
+    reader = spark.read.schema(CLEAN_SCHEMA)
+    return reader.options(**_options(fmt)).format(fmt).load(path)
 
 
 def sink_clean(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write the fact table, replacing what was there."""
-    writer = df.write.mode("overwrite")
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.format(fmt).save(path)
+    df.write.mode("overwrite").options(**_options(fmt)).format(fmt).save(path)
+
+
+def _options(fmt: str) -> dict[str, bool]:
+    return {"header": True} if fmt == "csv" else {}
 
 
 def register_table(

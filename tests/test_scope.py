@@ -6,7 +6,7 @@ import pytest
 
 from courierlens.operators import metrics, scope
 from courierlens.operators.scope import Scope
-from courierlens.plans.report import build_report
+from courierlens.plans.report import build_report, report_cube
 from courierlens.settings import DINNER_LABEL
 
 
@@ -67,6 +67,19 @@ def test_report_equals_the_single_metrics(fact, chosen, threshold):
     assert not report.counts.is_cached
 
 
+@pytest.mark.parametrize("chosen", SCOPES)
+def test_report_from_the_cube_is_the_same(fact, chosen, tmp_path):
+    path = str(tmp_path / "cube")
+    report_cube(fact).write.parquet(path)
+    cube = fact.sparkSession.read.parquet(path)
+    assert cube.selectExpr("sum(n)").first()[0] == fact.count()
+    with build_report(fact, chosen, 28) as direct:
+        expected = {name: t.collect() for name, t in direct.tables.items()}
+    with build_report(fact, chosen, 28, cube=cube) as from_cube:
+        for name, table in from_cube.tables.items():
+            assert table.collect() == expected[name], name
+
+
 def test_report_of_an_empty_scope(fact):
     with build_report(fact, Scope(cities=("Nowhere",))) as report:
         assert report.tables["kpis"].first()["total_orders"] == 0
