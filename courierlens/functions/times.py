@@ -31,7 +31,7 @@ def clock_parts(text: Column) -> Column:
     Hours past midnight wrap round; the minute stays as written, since a clock
     text may carry 60 or more.
     """
-    hour, minute = _colon_piece(text, 1), _colon_piece(text, 2)
+    hour, minute = _before_colon(text), _after_colon(text)
     second = second_of_day(text)
     return (
         F.when(text.contains(":"), _parts(F.pmod(hour, F.lit(24)), minute))
@@ -41,8 +41,13 @@ def clock_parts(text: Column) -> Column:
     )
 
 
-def _colon_piece(text: Column, position: int) -> Column:
-    return F.split_part(text, F.lit(":"), F.lit(position)).try_cast("bigint")
+def _before_colon(text: Column) -> Column:
+    return F.substring_index(text, ":", 1).try_cast("bigint")
+
+
+def _after_colon(text: Column) -> Column:
+    """Number between the first colon and the next one or the end."""
+    return _before_colon(F.substr(text, F.instr(text, ":") + 1))
 
 
 def _parts(hour: Column, minute: Column) -> Column:
