@@ -14,6 +14,11 @@ ASCII_WHITESPACE = "".join(c for c in WHITESPACE if c.isascii())
 NUMBER_CHARACTERS = r"^[\s0-9eE.+-]+$"
 
 
+def is_one_byte(text: Column) -> Column:
+    """True where every character takes one byte; null for null."""
+    return F.octet_length(text) == F.char_length(text)
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space; plain ``trim`` takes only spaces.
 
@@ -22,8 +27,9 @@ def strip(c: Column) -> Column:
     """
     text = c.cast("string")
     plain = F.btrim(text, F.lit(ASCII_WHITESPACE))
-    one_byte_each = F.octet_length(text) == F.char_length(text)
-    return F.when(one_byte_each, plain).otherwise(F.btrim(text, F.lit(WHITESPACE)))
+    return F.when(is_one_byte(text), plain).otherwise(
+        F.btrim(text, F.lit(WHITESPACE))
+    )
 
 
 def is_missing(c: Column) -> Column:

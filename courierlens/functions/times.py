@@ -10,8 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from courierlens.functions.text import number
-from courierlens.settings import MINUTES_PER_DAY, SECONDS_PER_DAY
+from courierlens.functions.text import is_one_byte, number
+from courierlens.settings import MINUTES_PER_DAY, SECONDS_PER_DAY, WHITESPACE
+
+MULTI_BYTE_SPACES = "".join(c for c in WHITESPACE if not c.isascii())
+
+
+def plain_spaces(text: Column) -> Column:
+    """Multi-byte white space as plain spaces, which a cast to a number trims.
+
+    Needed before ``clock_parts`` for text like '9:\\xa05'.
+    """
+    spaces = " " * len(MULTI_BYTE_SPACES)
+    plain = F.translate(text, MULTI_BYTE_SPACES, spaces)
+    return F.when(is_one_byte(text), text).otherwise(plain)
 
 
 def second_of_day(text: Column) -> Column:
@@ -72,7 +84,7 @@ def known_hour(parts: Column) -> Column:
 
 def parse_clock(text: Column) -> Column:
     """Any accepted clock notation to ``HH:MM``; the rest becomes null."""
-    return clock(clock_parts(text))
+    return clock(clock_parts(plain_spaces(text)))
 
 
 def minutes_between(start: Column, end: Column) -> Column:

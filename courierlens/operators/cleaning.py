@@ -17,13 +17,9 @@ from courierlens.settings import DEFAULT, SlaConfig
 RAW_TEXT_COLUMNS = [
     f.name for f in RAW_SCHEMA if isinstance(f.dataType, T.StringType)
 ]
-# Read through a pattern that rejects every missing marker by itself.
-PATTERN_COLUMNS = {
-    "Delivery_person_Age",
-    "Delivery_person_Ratings",
-    "Time_Orderd",
-    "Time_Order_picked",
-}
+# Read as numbers or clock times, which match no missing marker anyway.
+NUMBER_COLUMNS = {"Delivery_person_Age", "Delivery_person_Ratings"}
+FINISH = {"Time_Orderd": times.plain_spaces, "Time_Order_picked": times.plain_spaces}
 
 
 def strip_column_names(df: DataFrame) -> DataFrame:
@@ -50,9 +46,9 @@ def normalise_text(raw: DataFrame) -> DataFrame:
     present = [name for name in RAW_TEXT_COLUMNS if name in raw.columns]
     trimmed = raw.withColumns({name: text.strip(F.col(name)) for name in present})
     return trimmed.withColumns({
-        name: text.null_if_missing(F.col(name))
+        name: FINISH.get(name, text.null_if_missing)(F.col(name))
         for name in present
-        if name not in PATTERN_COLUMNS
+        if name not in NUMBER_COLUMNS
     })
 
 

@@ -90,11 +90,10 @@ def outside_hours(hours: tuple[int, ...] = DEFAULT.dinner_hours) -> Column:
 
 def distinct_options(df: DataFrame, *columns: str) -> DataFrame:
     """Sorted values that occur in each dimension, from one scan for all."""
-    pairs = [
-        F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value"))
-        for c in columns
-    ]
-    options = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    options = texts.unpivot([], list(columns), "dimension", "value").where(
+        F.col("value").isNotNull()
+    )
     return options.distinct().orderBy("dimension", "value")
 
 

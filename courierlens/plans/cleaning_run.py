@@ -37,15 +37,19 @@ def run_cleaning(
 
 
 def event_table_path(spark: SparkSession, data_dir: str, name: str) -> str:
-    """Path of a table derived from the events as they are now.
-
-    The version of the events is part of the path, so changed data get a new
-    table instead of an old answer.
-    """
+    """Path of a table derived from the events as they are now."""
     source = f"{data_dir}/events.parquet"
-    size, modified = shared.stored_version(spark, source)
-    version = sha256(f"{source}|{size}|{modified}".encode()).hexdigest()[:16]
-    return shared.table_path(spark, version, name)
+    return _versioned_path(spark, source, shared.stored_version(spark, source), name)
+
+
+def _versioned_path(
+    spark: SparkSession, source: str, version: tuple[int, int], name: str
+) -> str:
+    """The version of the source is part of the path, so changed data get a new
+    table instead of an old answer."""
+    size, modified = version
+    key = sha256(f"{source}|{size}|{modified}".encode()).hexdigest()[:16]
+    return shared.table_path(spark, key, name)
 
 
 def event_deliveries(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -60,11 +64,12 @@ def event_deliveries(spark: SparkSession, data_dir: str) -> DataFrame:
 
     if shared.shared_root(spark) is None:
         return build()
-    path = event_table_path(spark, data_dir, "deliveries")
-    size, _ = shared.stored_version(spark, f"{data_dir}/events.parquet")
+    source = f"{data_dir}/events.parquet"
+    version = shared.stored_version(spark, source)
+    path = _versioned_path(spark, source, version, "deliveries")
     with _build_lock:
         return fact_table.build_if_missing(
-            spark, path, build, input_bytes=size * EVENT_GROWTH
+            spark, path, build, input_bytes=version[0] * EVENT_GROWTH
         )
 
 

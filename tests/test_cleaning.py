@@ -60,7 +60,7 @@ def test_clock(spark, written, expected):
     assert one(spark, clock, written) == expected
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.floats(-3, 3), min_size=20, max_size=20))
 def test_day_fraction_follows_floor_arithmetic(spark, days):
     def expected(day: float) -> str:
@@ -73,6 +73,40 @@ def test_day_fraction_follows_floor_arithmetic(spark, days):
     assert got == [expected(d) for d in days]
 
 
+def clock_by_rule(written: str) -> str | None:
+    """The rule for one clock text, in plain Python."""
+    stripped = written.strip()
+    try:
+        seconds = int(round(float(stripped) * 24 * 3600))
+    except OverflowError:
+        return None
+    except ValueError:
+        pieces = stripped.split(":")
+    else:
+        return f"{seconds // 3600 % 24:02d}:{seconds % 3600 // 60:02d}"
+    try:
+        return f"{int(pieces[0]) % 24:02d}:{int(pieces[1]):02d}"
+    except (IndexError, ValueError):
+        return None
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.one_of(
+            st.text("0123456789:.+-eE \u00a0", max_size=7),
+            st.from_regex(r"[ ]?[0-9]{1,2}:[0-9]{1,3}(:[0-9]{2})?[ ]?", fullmatch=True),
+        ),
+        min_size=40,
+        max_size=60,
+    )
+)
+def test_any_clock_text_follows_the_rule(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(clock(F.col("t"))).collect()]
+    assert got == [clock_by_rule(t) for t in texts]
+
+
 @pytest.mark.parametrize(
     ("ordered", "picked", "expected"),
     [
