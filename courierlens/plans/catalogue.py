@@ -222,7 +222,7 @@ def cleaning_queries() -> dict[str, Query]:
     return {
         "clean_colnames": over_raw(padded_names),
         "clean_dedup": over_raw(cleaning.drop_duplicate_rows),
-        "clean_order_date": rule(order_date=lambda: date()),
+        "clean_order_date": rule(order_date=date),
         "clean_date_parts": rule(
             order_day=lambda: F.dayofmonth(date()),
             order_month=lambda: F.month(date()),
@@ -277,8 +277,12 @@ def cleaning_queries() -> dict[str, Query]:
             sla_25=lambda: features.sla_flag(col("delivery_time_min"), 25),
             sla_30=lambda: features.sla_flag(col("delivery_time_min")),
         ),
-        "feat_peak_period": feature(peak_period=lambda: features.peak_period(col("order_hour"))),
-        "feat_peak_flag": feature(is_peak_hour=lambda: features.peak_flag(col("order_hour"))),
+        "feat_peak_period": feature(
+            peak_period=lambda: features.peak_period(col("order_hour"))
+        ),
+        "feat_peak_flag": feature(
+            is_peak_hour=lambda: features.peak_flag(col("order_hour"))
+        ),
         "clean_select": over_fact(cleaning.select_clean),
         "clean_all": over_raw(cleaning.clean_orders),
         "proj_period_label": feature(

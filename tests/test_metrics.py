@@ -96,7 +96,9 @@ def test_one_scan_of_sets_equals_separate_counts(fact):
 def test_median_of_a_hot_group(spark):
     """A third of all rows in one group, counted by minute before the shuffle."""
     df = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("kind"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .otherwise((F.col("id") % 50).cast("string"))
+        .alias("kind"),
         (F.col("id") % 61).cast("int").alias("delivery_time_min"),
     )
     row = metrics.category(df, "kind").where("kind = 'hot'").first()
