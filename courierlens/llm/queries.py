@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlens.llm import exact_dedup, mixing, sharding, simhash
+from courierlens.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    masked_lm,
+    mixing,
+    pii,
+    secret_scan,
+    sharding,
+    simhash,
+    warc,
+)
 from courierlens.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +33,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.as_hex(F.col("print")).alias("fingerprint"), "component_id")
 
 
+def op2_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -39,6 +54,38 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def span_columns(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
+    """Counts of the base kinds, the digest of their spans, and all spans as text."""
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[F.size(pii.of_kinds(spans, (k,))).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(pii.joined(pii.of_kinds(spans, base)), 256).alias("base_sha256"),
+        pii.joined(spans).alias("spans"),
+    )
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_columns(pii.find(table(spark, sf_dir, "documents")), pii.BASE)
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_columns(secret_scan.find(table(spark, sf_dir, "documents")), secret_scan.BASE)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -53,7 +100,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_simhash_near_dedup, op3_exact_dedup, op4_source_mixing, op10_sharding)
+    found = (
+        op1_simhash_near_dedup,
+        op2_masked_lm,
+        op3_exact_dedup,
+        op4_source_mixing,
+        op5_pii,
+        op6_secret_scan,
+        op7_language_id,
+        op8_warc,
+        op9_decontamination,
+        op10_sharding,
+    )
     return {q.__name__: q for q in found}
 
 
@@ -100,4 +158,19 @@ ORACLE_SQL = {
                (size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM rates
     """,
+    "op8_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS html FROM pages
+        ), marked AS (
+            SELECT page_id, strlen(html) AS size, sha1(html) AS digest,
+                   max(page_id) OVER (PARTITION BY html) AS best
+            FROM payloads
+        )
+        SELECT page_id,
+               size::BIGINT AS payload_bytes,
+               digest AS payload_digest,
+               CASE WHEN size >= 1000 AND page_id <> best THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN size >= 1000 AND page_id <> best THEN best END AS refers_to
+        FROM marked
+    """,
 }

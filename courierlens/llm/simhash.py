@@ -220,6 +220,16 @@ def near_components(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
     )
 
 
+def named_groups(rows: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """``doc_id, print, root, component_id`` for written rows ``doc_id, print``."""
+    prints = written(rows.groupBy("print").agg(F.min("doc_id").alias("least")), "simhash-prints")
+    found = written(near_components(prints.select("print"), budget), "simhash-roots")
+    named = prints.join(found, "print")
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    labels = attach(named.select("print", "root"), ids, "root", "print")
+    return attach(rows, labels, "print", "doc_id").select("doc_id", "print", "root", "component_id")
+
+
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, budget: int = BUDGET
 ) -> DataFrame:
@@ -234,9 +244,4 @@ def near_groups(
         docs.select(F.col(id_col).alias("doc_id"), fingerprints(shingle)(F.col(text_col)).alias("print")),
         "simhash-rows",
     )
-    prints = written(rows.groupBy("print").agg(F.min("doc_id").alias("least")), "simhash-prints")
-    found = written(near_components(prints.select("print"), budget), "simhash-roots")
-    named = prints.join(found, "print")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = attach(named.select("print", "root"), ids, "root", "print")
-    return attach(rows, labels, "print", "doc_id").select("doc_id", "print", "root", "component_id")
+    return named_groups(rows, budget)
