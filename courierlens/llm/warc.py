@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +32,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = b"WARC/1."
+_VERSION_LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
+_FIELD = re.compile(r"([A-Za-z0-9-]+):([^\x00-\x08\x0a-\x1f]*)")
 _END = b"\r\n\r\n"
 _FEED = 65_536
 
@@ -88,15 +91,16 @@ def _member(data: bytes, at: int) -> tuple[bytes, int]:
 
 def _record(data: bytes, at: int) -> tuple[dict, int]:
     """The checked record whose version line is at a place, and where it ends."""
-    if not data.startswith(_VERSION, at):
+    if not _VERSION_LINE.match(data, at):
         raise Damaged("no version line")
     body = data.find(_END, at)
     if body < 0:
         raise Damaged("header is cut off")
     head = {}
     for line in data[at:body].decode("utf-8", "replace").split("\r\n")[1:]:
-        key, _, value = line.partition(":")
-        head[key.strip().lower()] = value.strip()
+        if not (field := _FIELD.fullmatch(line)):
+            raise Damaged("header holds other bytes")
+        head[field[1].lower()] = field[2].strip()
     body += len(_END)
     length = head.get("content-length", "")
     if not (length.isascii() and length.isdigit() and len(length) < 16):
