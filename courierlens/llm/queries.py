@@ -83,7 +83,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("item_ids", F.array_join("item_ids", ","))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,4 +174,34 @@ ORACLE_SQL = {
                CASE WHEN size >= 1000 AND page_id <> best THEN best END AS refers_to
         FROM marked
     """,
+    "op9_decontamination": r"""
+        WITH item_words AS (
+            SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
+            FROM benchmark WHERE text IS NOT NULL
+        ), items AS (
+            SELECT w, min(item_id) AS item_id,
+                   string_agg(item_id, ',' ORDER BY item_id) AS item_ids, least(len(w), 5) AS width
+            FROM item_words WHERE len(w) > 0 GROUP BY w
+        ), item_shingles AS (
+            SELECT DISTINCT item_id, width, array_to_string(w[i:i + width - 1], ' ') AS shingle
+            FROM (SELECT item_id, width, w, unnest(range(1, len(w) - width + 2)) AS i FROM items)
+        ), wanted AS (
+            SELECT item_id, count(*) AS shingles FROM item_shingles GROUP BY item_id
+        ), doc_words AS (
+            SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
+            FROM documents WHERE text IS NOT NULL
+        ), doc_shingles AS (
+            SELECT doc_id, width, array_to_string(w[i:i + width - 1], ' ') AS shingle
+            FROM (
+                SELECT doc_id, width, w, unnest(range(1, len(w) - width + 2)) AS i
+                FROM doc_words, (SELECT DISTINCT width FROM items) WHERE len(w) >= width
+            )
+        ), found AS (
+            SELECT doc_id, item_id, count(DISTINCT shingle) AS shared
+            FROM doc_shingles JOIN item_shingles USING (width, shingle) GROUP BY doc_id, item_id
+        )
+        SELECT doc_id, item_id, item_ids, shingles, shared, shared / shingles::DOUBLE AS containment
+        FROM found JOIN wanted USING (item_id) JOIN items USING (item_id)
+        WHERE 5 * shared >= 4 * shingles
+    """,
 }
