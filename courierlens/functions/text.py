@@ -51,5 +51,6 @@ def or_unknown(text: Column) -> Column:
 
 
 def number(text: Column) -> Column:
-    """Double from text; anything unparseable becomes null."""
-    return F.when(text.rlike(NUMBER_CHARACTERS), text.try_cast("double"))
+    """Double from text; what is unparseable or beyond the doubles becomes null."""
+    value = text.try_cast("double")
+    return F.when(text.rlike(NUMBER_CHARACTERS) & (F.abs(value) < float("inf")), value)

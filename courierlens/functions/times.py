@@ -94,9 +94,15 @@ def minutes_between(start: Column, end: Column) -> Column:
 
 
 def parse_date(text: Column, *, lenient: bool = False) -> Column:
-    """``D-M-YYYY`` text to a date; bad text fails the run unless lenient."""
-    convert = F.try_to_date if lenient else F.to_date
-    return convert(text, "d-M-yyyy")
+    """``D-M-YYYY`` text to a date; bad text fails the run unless lenient.
+
+    The same under any ANSI setting of the session.
+    """
+    date = F.try_to_date(text, "d-M-yyyy")
+    if lenient:
+        return date
+    problem = F.raise_error(F.concat(F.lit("unreadable date: "), text)).cast("date")
+    return F.when(date.isNull() & text.isNotNull(), problem).otherwise(date)
 
 
 def weekend_flag(date: Column) -> Column:

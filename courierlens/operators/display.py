@@ -51,6 +51,14 @@ TABLES = {
         "sla_violation_rate": ("SLA Breach Rate (%)", "%.2f%%"),
     },
 }
+# Title, value and subtitle of the headline cards; a format takes the column after it.
+CARDS = (
+    ("Total Deliveries", (COUNT, "total_orders"), "Active in Scope"),
+    ("SLA Violations", (COUNT, "sla_violations"), "Orders > {threshold} min"),
+    ("SLA Violation Rate", ("%.1f%%", "sla_violation_rate"), "Breach Frequency"),
+    ("Avg Delivery Time", ("%.1f min", "avg_time"), ("Median: %.0f min", "median_time")),
+    ("Dinner Peak Orders", (COUNT, "peak_orders"), ("%.1f%% of Volume", "peak_share_pct")),
+)
 TIME_LABEL = "%.1f min"
 SHORT_TIME_LABEL = "%.1f m"
 RATE_LABEL = "(%.1f%% viol.)"
@@ -80,6 +88,25 @@ def display_format(df: DataFrame, table: str) -> DataFrame:
     ])
 
 
+def headline_cards(kpis: DataFrame, threshold: float = DEFAULT.threshold) -> DataFrame:
+    """The headline figures as cards: position, title, value and subtitle."""
+    def text(part) -> Column:
+        if isinstance(part, str):
+            return F.lit(part.format(threshold=threshold))
+        return formatted(F.col(part[1]), part[0])
+
+    cards = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(title).alias("title"),
+            text(value).alias("value"),
+            text(below).alias("subtitle"),
+        )
+        for i, (title, value, below) in enumerate(CARDS, 1)
+    ]
+    return kpis.select(F.inline(F.array(*cards)))
+
+
 def time_label(c: Column) -> Column:
     return F.format_string(TIME_LABEL, c)
 

@@ -17,6 +17,7 @@ from courierlens.operators.time_counts import (
     order_count,
     set_id,
     time_count_sets,
+    time_counts,
     violations,
 )
 from courierlens.settings import DEFAULT, SlaConfig
@@ -151,7 +152,9 @@ def insights(
     """The insights whose compared sides both occur in the data."""
     chosen = [c for c in COMPARISONS if only is None or c.name in only]
     dims = [c.dim for c in chosen]
-    return insights_from(time_count_sets(df, dims), dims, config, only)
+    # counted jointly first, so that only counts are multiplied by the grouping sets
+    sets = time_count_sets(time_counts(df, *dims), dims, F.sum("n"))
+    return insights_from(sets, dims, config, only)
 
 
 def insights_from(

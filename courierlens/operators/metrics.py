@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierlens.functions import features
@@ -290,12 +290,21 @@ def percentiles(
     )
 
 
-def bin_width(spread: Column, max_bins: int = HISTOGRAM_MAX_BINS) -> Column:
-    """Smallest of 1, 2, 5, 10, 20, 50 … minutes that keeps within the bins."""
-    rough = F.greatest(spread / max_bins, F.lit(1.0))
-    base = F.pow(F.lit(10.0), F.floor(F.log10(rough)))
-    step = rough / base
-    return base * F.when(step <= 1, 1).when(step <= 2, 2).when(step <= 5, 5).otherwise(10)
+# Widths of histogram bins.
+BIN_WIDTHS = tuple(step * 10**power for power in range(9) for step in (1, 2, 5))
+
+
+def bin_width(low: Column, high: Column, max_bins: int = HISTOGRAM_MAX_BINS) -> Column:
+    """Smallest of 1, 2, 5, 10, 20, 50 … minutes that keeps within the bins.
+
+    Bins start at multiples of the width, so one more may be needed than the
+    spread alone would fill.
+    """
+    fits = [
+        F.when(F.floor(high / w) - F.floor(low / w) + 1 <= max_bins, F.lit(float(w)))
+        for w in BIN_WIDTHS
+    ]
+    return F.coalesce(*fits)
 
 
 def histogram(
@@ -312,19 +321,53 @@ def histogram_from(
     max_bins: int = HISTOGRAM_MAX_BINS,
 ) -> DataFrame:
     """Orders per bin of delivery time, with the median and threshold marks."""
-    # The counts are one row per minute value, so a window over all is small.
-    everything = Window.partitionBy()
-    spread = F.max(TIME).over(everything) - F.min(TIME).over(everything)
-    marked = counts.select(
-        TIME,
-        "n",
-        bin_width(spread, max_bins).alias("bin_width"),
-        median_time().over(everything).alias("median_minutes"),
-    )
-    start = F.floor(F.col(TIME) / F.col("bin_width")) * F.col("bin_width")
+    marks = counts.agg(
+        F.struct(
+            bin_width(F.min(TIME), F.max(TIME), max_bins).alias("width"),
+            median_time().alias("median"),
+        )
+    ).scalar()
+    width = marks["width"]
+    start = F.floor(F.col(TIME) / width) * width
     return (
-        marked.groupBy(start.alias("bin_start"), "bin_width", "median_minutes")
+        counts.groupBy(start.alias("bin_start"))
         .agg(F.sum("n").alias("order_count"))
-        .withColumn("sla_threshold", F.lit(threshold))
+        .select(
+            "bin_start",
+            width.alias("bin_width"),
+            marks["median"].alias("median_minutes"),
+            "order_count",
+            F.lit(threshold).alias("sla_threshold"),
+        )
         .orderBy("bin_start")
     )
+
+
+def time_summary(
+    df: DataFrame, points: Sequence[float] = TIME_PERCENTILES
+) -> DataFrame:
+    """Count, mean, sample deviation, extremes and chosen percentiles of the time."""
+    x, n = F.col(TIME), F.col("n")
+    at = F.array(*[F.lit(float(p)) for p in points])
+    total, squares, orders = F.sum(x * n), F.sum(x * x * n), F.sum(n)
+    spread = (squares - total * (total / orders)) / (orders - 1)
+    figures = time_counts(df).where(x.isNotNull()).agg(
+        F.coalesce(orders, F.lit(0)).alias("count"),
+        F.round(mean_time(), 6).alias("mean"),
+        F.when(orders > 1, F.round(F.sqrt(F.greatest(spread, F.lit(0.0))), 6)).alias("std"),
+        F.min(x).alias("min"),
+        F.max(x).alias("max"),
+        F.percentile(x, at, n).alias("points"),
+    )
+    named = [
+        F.round(F.col("points")[i], 6).alias(f"p{round(p * 100):02d}")
+        for i, p in enumerate(points)
+    ]
+    return figures.select("count", "mean", "std", "min", *named, "max")
+
+
+def time_marks(df: DataFrame) -> DataFrame:
+    """Median and third quartile of all delivery times, whatever the scope."""
+    at = F.array(F.lit(0.5), F.lit(0.75))
+    points = time_counts(df).agg(F.percentile(F.col(TIME), at, F.col("n")).alias("p"))
+    return points.select(F.col("p")[0].alias("median_minutes"), F.col("p")[1].alias("q3_minutes"))

@@ -10,7 +10,7 @@ from courierlens.functions.rounding import percent
 from courierlens.functions.text import clean_text, is_missing, number
 from courierlens.operators.cleaning import normalise_text
 from courierlens.operators.metrics import distance_totals
-from courierlens.operators.quantiles import exact_percentiles
+from courierlens.operators.quantiles import QUARTILES, statistics, with_quartiles
 from courierlens.operators.time_counts import (
     mean_time,
     median_time,
@@ -20,8 +20,6 @@ from courierlens.operators.time_counts import (
 )
 from courierlens.settings import DEFAULT, SlaConfig
 
-QUARTILES = (0.25, 0.5, 0.75)
-
 
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -59,16 +57,32 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def _missing(field: T.StructField) -> Column:
     c = _quoted(field.name)
-    return is_missing(c) if isinstance(field.dataType, T.StringType) else c.isNull()
+    if isinstance(field.dataType, T.StringType):
+        return is_missing(c)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return c.isNull() | F.isnan(c)
+    return c.isNull()
+
+
+def _row_digest(df: DataFrame) -> Column:
+    """32 bytes that stand for a whole row, nulls and lengths included."""
+    parts = []
+    for field in df.schema:
+        c = _quoted(field.name)
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            c = c + F.lit(0.0)  # the two zeros are equal
+        text = c.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in all columns, nulls equal.
 
-    Copies are counted within each task before the shuffle, so a large group of
-    them reaches the reducer as one row per task.
+    Digests of the rows are counted within each task before the shuffle, so a
+    large group of copies reaches the reducer as one digest per task.
     """
-    groups = df.groupBy(*[_quoted(c) for c in df.columns]).count()
+    groups = df.groupBy(_row_digest(df).alias("digest")).count()
     extra = F.coalesce(F.sum(F.col("count") - 1), F.lit(0))
     return groups.agg(extra.alias("duplicate_rows"))
 
@@ -92,42 +106,25 @@ def numeric_view(raw: DataFrame) -> DataFrame:
     return numeric.select(*[_quoted(c) for c in numeric_columns(numeric)])
 
 
-DESCRIBE_SCHEMA = (
-    "column_name string, count bigint, mean double, std double, min double, "
-    "q1 double, median double, q3 double, max double"
-)
-
-
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column.
 
-    One pass for the plain statistics, whose extremes then start the search for
-    the quartiles. Only these few figures per column come to the driver.
+    Not-a-number counts as missing; infinite values count as they are. Three passes
+    over the rows, whatever their values (``quantiles``).
     """
     names = columns or numeric_columns(df)
-    row = df.agg(*[
-        F.struct(
-            F.count(_quoted(name)).alias("count"),
-            F.round(F.avg(_quoted(name)), 6).alias("mean"),
-            F.round(F.stddev_samp(_quoted(name)), 6).alias("std"),
-            F.min(_quoted(name)).cast("double").alias("min"),
-            F.max(_quoted(name)).cast("double").alias("max"),
-        ).alias(name)
-        for name in names
-    ]).first()
-    spans = {name: (row[name]["count"], row[name]["min"], row[name]["max"])
-             for name in names}
-    quartiles = exact_percentiles(df, spans, QUARTILES)
-    rows = [
-        (
-            name,
-            *(row[name][figure] for figure in ("count", "mean", "std", "min")),
-            *(None if q is None else round(q, 6) for q in quartiles[name]),
-            row[name]["max"],
-        )
+    numeric = df.select(*[
+        F.nanvl(_quoted(name).cast("double"), F.lit(None).cast("double")).alias(name)
         for name in names
+    ])
+    rounded = [
+        F.when(F.abs(F.col(c)) < float("inf"), F.round(c, 6)).otherwise(F.col(c)).alias(c)
+        for c in ("mean", "std")
     ]
-    return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)
+    quartiles = [F.round(label, 6).alias(label) for label in QUARTILES]
+    return with_quartiles(numeric, statistics(numeric)).select(
+        "column_name", "count", *rounded, "min", *quartiles, "max"
+    )
 
 
 def quality_report(

@@ -1,128 +1,147 @@
-"""Exact percentiles of columns with any number of distinct values.
+"""Exact quartiles of columns with any number of distinct values.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task, which
-suits whole minutes but not coordinates. Here each round counts rows in equal
-slices of a bracket around every wanted rank, in one aggregation for all of
-them, and narrows the bracket to the slice that holds the rank, down to the
-smallest and largest value found in it. A round moves only slice counts, so
-neither a task nor the driver holds more than a fixed number of rows however
-large the data; two or three rounds usually leave a single value.
+suits whole minutes but not coordinates. Here one pass finds a bracket round each
+quartile with ``percentile_approx``, whose error in ranks is bounded; a second
+counts the rows below each bracket, a third the values inside, combined in each
+task. Three passes, whatever the values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICES = 1024
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+#: Ranks found by approximation are off by at most a row in so many.
+ACCURACY = 10_000
+#: Half the width of a bracket: it exceeds the error by some ranks.
+MARGIN = 4 / ACCURACY
+#: With so few rows a bracket is the whole column.
+FEW = 2 * ACCURACY
 
 
 @dataclass(frozen=True)
-class Bracket:
-    """Range of a column known to hold a rank, and the rows below it."""
+class Figures:
+    """Plain statistics of a column and the ends of its quartiles' brackets."""
 
-    column: str
-    low: float
-    high: float
-    below: int
+    name: str
+    count: int
+    mean: float | None
+    std: float | None
+    min: float | None
+    max: float | None
+    brackets: tuple[tuple[float, float], ...]
 
 
-Span = tuple[int, float | None, float | None]
+def _quoted(name: str) -> Column:
+    return F.col(f"`{name}`")
 
 
-def exact_percentiles(
-    df: DataFrame, spans: dict[str, Span], points: Sequence[float]
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated percentiles per column; None for an empty one.
-
-    ``spans`` holds the count, minimum and maximum of each column (``spans_of``).
-    """
-    numeric = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in spans])
-    wanted: dict[tuple[str, int], Bracket] = {}
-    for column, (n, low, high) in spans.items():
-        for point in points if n else ():
-            position = (n - 1) * point
-            for rank in (floor(position), ceil(position)):
-                wanted[column, rank] = Bracket(column, low, high, 0)
-    while any(b.low < b.high for b in wanted.values()):
-        wanted = _narrow(numeric, wanted)
-    return {
-        column: [_interpolate(wanted, column, n, point) for point in points]
-        for column, (n, _, _) in spans.items()
-    }
-
-
-def spans_of(df: DataFrame, columns: Sequence[str]) -> dict[str, Span]:
-    """Row count, minimum and maximum of each column, from one row."""
-    row = df.agg(*[
+def statistics(numeric: DataFrame) -> list[Figures]:
+    """The first pass: a dozen numbers per column come to the driver."""
+    points = [p for q in QUARTILES.values() for p in (q - MARGIN, q + MARGIN)]
+    at = F.array(*[F.lit(p) for p in points])
+    row = numeric.agg(*[
         F.struct(
-            F.count(f"`{c}`"),
-            F.min(f"`{c}`").cast("double"),
-            F.max(f"`{c}`").cast("double"),
-        ).alias(c)
-        for c in columns
+            F.count(_quoted(name)),
+            F.avg(_quoted(name)),
+            F.stddev_samp(_quoted(name)),
+            F.min(_quoted(name)),
+            F.max(_quoted(name)),
+            F.percentile_approx(_quoted(name), at, F.lit(ACCURACY)),
+        ).alias(f"c{i}")
+        for i, name in enumerate(numeric.columns)
     ]).first()
-    return {c: tuple(row[c]) for c in columns}
+    found = []
+    for name, (count, mean, std, low, high, marks) in zip(numeric.columns, row, strict=True):
+        if count <= FEW:
+            marks = [low, high] * len(QUARTILES)
+        brackets = tuple(zip(marks[::2], marks[1::2], strict=True)) if count else ()
+        found.append(Figures(name, count, mean, std, low, high, brackets))
+    return found
+
 
+def with_quartiles(numeric: DataFrame, figures: list[Figures]) -> DataFrame:
+    """A row for each column: its figures and ``q1, median, q3``, none if it is empty.
 
-def _narrow(
-    df: DataFrame, wanted: dict[tuple[str, int], Bracket]
-) -> dict[tuple[str, int], Bracket]:
-    """One round: replace each open bracket by the slice holding its rank."""
-    open_brackets = sorted(
-        {b for b in wanted.values() if b.low < b.high},
-        key=lambda b: (b.column, b.low),
+    Quartiles are linearly interpolated.
+    """
+    cells = [(f, k, *ends) for f in figures for k, ends in enumerate(f.brackets)]
+    below = numeric.agg(
+        F.count(F.lit(1)),
+        *[F.count_if(_quoted(f.name) < low).alias(f"b{i}") for i, (f, _, low, _) in enumerate(cells)],
     )
-    columns = sorted({b.column for b in open_brackets})
+    number = {(f.name, k): i for i, (f, k, _, _) in enumerate(cells)}
+    none = F.lit(None).cast("long")
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.count).cast("long").alias("count"),
+            *[
+                F.lit(getattr(f, name)).cast("double").alias(name)
+                for name in ("mean", "std", "min", "max")
+            ],
+            *[
+                (F.col(f"b{number[f.name, k]}") if f.brackets else none).alias(f"below{k}")
+                for k in range(len(QUARTILES))
+            ],
+        )
+        for f in figures
+    ]
+    base = below.select(F.inline(F.array(*rows)))
+    inside = [
+        F.when(
+            _quoted(f.name).between(low, high),
+            F.struct(
+                F.lit(f.name).alias("column_name"), F.lit(k).alias("k"), _quoted(f.name).alias("value")
+            ),
+        )
+        for f, k, low, high in cells
+    ]
+    nothing = F.lit(None).cast("struct<column_name: string, k: int, value: double>")
+    # a bracket holds a few rows in ten thousand, or few different values
     counted = (
-        df.unpivot([], [f"`{c}`" for c in columns], "column", "value")
-        .select(_slot(open_brackets).alias("slot"), "value")
-        .where(F.col("slot").isNotNull())
-        .groupBy("slot")
-        .agg(F.count("value"), F.min("value"), F.max("value"))
+        numeric.select(F.inline(F.filter(F.array(nothing, *inside), lambda cell: cell.isNotNull())))
+        .groupBy("column_name", "k", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    held = [
+        F.array_sort(F.collect_list(F.when(F.col("k") == k, F.struct("value", "n")))).alias(f"held{k}")
+        for k in range(len(QUARTILES))
+    ]
+    joined = base.join(counted.groupBy("column_name").agg(*held), "column_name", "left")
+    return joined.select(
+        "column_name", "count", "mean", "std", "min", "max",
+        *[
+            F.when(F.col("count") > 0, _quartile(point, f"below{k}", f"held{k}")).alias(label)
+            for k, (label, point) in enumerate(QUARTILES.items())
+        ],
     )
-    slices: dict[Bracket, list] = {b: [] for b in open_brackets}
-    for slot, n, low, high in sorted(counted.collect()):
-        slices[open_brackets[slot // SLICES]].append((n, low, high))
-    return {
-        (column, rank): _holding(b, slices[b], rank) if b in slices else b
-        for (column, rank), b in wanted.items()
-    }
-
 
-def _slot(brackets: list[Bracket]) -> Column:
-    """Number of the bracket and slice a value lies in, null outside all.
 
-    Brackets of one column never overlap, so a value has at most one.
-    """
-    value = F.col("value")
-    slot = F.lit(None).cast("bigint")
-    for index, b in enumerate(brackets):
-        # Halving first keeps the width finite even across the whole double range.
-        share = (value / 2 - b.low / 2) / (b.high / 2 - b.low / 2)
-        part = F.least(F.floor(share * SLICES), F.lit(SLICES - 1))
-        inside = (F.col("column") == b.column) & value.between(b.low, b.high)
-        slot = F.when(inside, index * SLICES + part).otherwise(slot)
-    return slot
-
-
-def _holding(b: Bracket, slices: list[tuple], rank: int) -> Bracket:
-    below = b.below
-    for n, low, high in slices:
-        if rank < below + n:
-            return Bracket(b.column, low, high, below)
-        below += n
-    raise AssertionError(f"rank {rank} of {b.column} lies outside its bracket")
-
-
-def _interpolate(wanted, column: str, n: int, point: float) -> float | None:
-    if not n:
-        return None
-    position = (n - 1) * point
-    low = wanted[column, floor(position)].low
-    high = wanted[column, ceil(position)].low
-    return low + (high - low) * (position - floor(position))
+def _quartile(point: float, below: str, held: str) -> Column:
+    place = (F.col("count") - 1) * point - F.col(below)
+    first, second = _value_at(held, F.floor(place)), _value_at(held, F.ceil(place))
+    between = first + (second - first) * (place - F.floor(place))
+    return F.when(first == second, first).otherwise(between)
+
+
+def _value_at(held: str, rank: Column) -> Column:
+    """The value of a rank among the held ones; a rank outside the bracket fails the run."""
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("value"))
+    hit = F.aggregate(
+        held,
+        start,
+        lambda acc, cell: F.struct(
+            (acc["seen"] + cell["n"]).alias("seen"),
+            F.when((acc["seen"] <= rank) & (rank < acc["seen"] + cell["n"]), cell["value"])
+            .otherwise(acc["value"])
+            .alias("value"),
+        ),
+        lambda acc: acc["value"],
+    )
+    problem = F.raise_error(F.lit("a quartile lies outside its bracket")).cast("double")
+    return F.coalesce(hit, problem)

@@ -10,7 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courierlens.functions.rounding import percent
-from courierlens.settings import DEFAULT, TRAFFIC_DOMAIN, SlaConfig
+from courierlens.settings import (
+    DEFAULT,
+    FESTIVAL_CHOICES,
+    PERIOD_CHOICES,
+    TRAFFIC_DOMAIN,
+    SlaConfig,
+)
 
 # Which list of a scope filters which column.
 LIST_COLUMNS = {
@@ -26,7 +32,8 @@ LIST_COLUMNS = {
 class Scope:
     """Chosen values per dimension; an empty list or None does not filter.
 
-    An explicit list also drops the rows whose value is null.
+    An explicit list also drops the rows whose value is null. Festival and period
+    must be among the choices there are.
     """
 
     cities: tuple[str, ...] = ()
@@ -37,6 +44,12 @@ class Scope:
     festival: str | None = None
     period: str | None = None
 
+    def __post_init__(self) -> None:
+        for name, choices in (("festival", FESTIVAL_CHOICES), ("period", PERIOD_CHOICES)):
+            chosen = getattr(self, name)
+            if chosen and chosen not in choices:
+                raise ValueError(f"{name} {chosen!r} is none of {', '.join(choices)}")
+
     def predicate(self) -> Column:
         """One conjunction, so all of it can be pushed into the scan."""
         parts = [

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from courierlens.operators import cleaning, display, insights, metrics, quality,
 from courierlens.operators.time_counts import set_of, time_count_sets
 from courierlens.plans import query_pack as pack
 from courierlens.plans.cleaning_run import event_deliveries, event_table_path
-from courierlens.session import tuned
+from courierlens.session import build_session
 from courierlens.settings import DEFAULT, DINNER_LABEL, TRAFFIC_DOMAIN
 from courierlens.sources import fact_table, order_log, shared
 from courierlens.sources.event_orders import load_orders
@@ -48,7 +47,8 @@ def scan_raw(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def sink_clean(spark: SparkSession, data_dir: str) -> DataFrame:
-    path = event_table_path(spark, data_dir, f"sink-{uuid4().hex}")
+    """One copy per application: each call replaces the one before."""
+    path = event_table_path(spark, data_dir, "sink")
     fact_table.sink_clean(event_deliveries(spark, data_dir), path)
     return fact_table.scan_clean(spark, path)
 
@@ -66,7 +66,7 @@ def build_if_missing(spark: SparkSession, data_dir: str) -> DataFrame:
     event_deliveries(spark, data_dir)
     path = event_table_path(spark, data_dir, "deliveries")
 
-    def rebuild() -> DataFrame:
+    def rebuild(session: SparkSession) -> DataFrame:
         raise AssertionError("the stored table was built a second time")
 
     stored = fact_table.build_if_missing(spark, path, rebuild)
@@ -74,23 +74,21 @@ def build_if_missing(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def cache_scope(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Several breakdowns from one cached table, which is then released.
+    """Several breakdowns from one cached table; the caller releases the cache.
 
     What is cached are the counts of the scope, a few rows per dimension, not
     the orders in it.
     """
     dims = ["city", "weather"]
     scoped = scope.apply_scope(event_deliveries(spark, data_dir), SCOPE)
-    path = event_table_path(spark, data_dir, f"scope-{uuid4().hex}")
-    with fact_table.cached(time_count_sets(scoped, dims)) as counts:
-        parts = [
-            metrics.category_from(set_of(counts, dims, dim), dim)
-            .withColumnRenamed(dim, "value")
-            .withColumn("dimension", F.lit(dim))
-            for dim in dims
-        ]
-        parts[0].unionByName(parts[1]).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    counts = time_count_sets(scoped, dims).persist()
+    parts = [
+        metrics.category_from(set_of(counts, dims, dim), dim)
+        .withColumnRenamed(dim, "value")
+        .withColumn("dimension", F.lit(dim))
+        for dim in dims
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def query_pack_rows(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -109,7 +107,7 @@ def pack_query(name: str) -> Query:
 
 
 def raw_orders(spark: SparkSession, data_dir: str) -> DataFrame:
-    return load_orders(tuned(spark), data_dir)
+    return load_orders(spark, data_dir)
 
 
 def over_raw(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -187,37 +185,84 @@ GPS_COLUMNS = (
 def padded_names(raw: DataFrame) -> DataFrame:
     """The raw log with white space round its column names, then repaired."""
     padded = raw.toDF(*[f" {name}\t" for name in raw.columns])
-    return cleaning.strip_column_names(padded).select("ID", "City", "Time_taken (min)")
+    return cleaning.strip_column_names(padded)
+
+
+CLOCKS = {"time_ordered": "Time_Orderd", "time_order_picked": "Time_Order_picked"}
 
 
 def day_fractions(raw: DataFrame) -> DataFrame:
-    """Order times written as a fraction of a day."""
-    written = col("Time_Orderd")
+    """Rows with a clock time written as a fraction of a day."""
+    shown, found = [], F.lit(False)
+    for name, written in CLOCKS.items():
+        shown += [
+            times.second_of_day(col(written)).alias(f"{name}_second"),
+            times.parse_clock(col(written)).alias(name),
+        ]
+        found = found | text.number(col(written)).isNotNull()
     return (
         cleaning.normalise_text(raw)
-        .where(text.number(written).isNotNull())
-        .select(
-            cleaning.order_key(col("ID")).alias("order_id"),
-            times.second_of_day(written).alias("second_of_day"),
-            times.parse_clock(written).alias("time_ordered"),
-        )
+        .where(found)
+        .select(cleaning.order_key(col("ID")).alias("order_id"), *shown)
     )
 
 
 def past_midnight(raw: DataFrame) -> DataFrame:
-    """Pickup times written with an hour of 24 or more."""
-    written = col("Time_Order_picked")
+    """Rows with a clock time written with an hour of 24 or more."""
+    shown, found = [], F.lit(False)
+    for name, written in CLOCKS.items():
+        hour = F.split_part(col(written), F.lit(":"), F.lit(1)).try_cast("int")
+        shown += [
+            col(written).alias(f"{name}_written"), times.parse_clock(col(written)).alias(name)
+        ]
+        found = found | F.coalesce((hour >= 24) & col(written).contains(":"), F.lit(False))
     return (
         cleaning.normalise_text(raw)
-        .where(F.split_part(written, F.lit(":"), F.lit(1)).try_cast("int") >= 24)
-        .select(
-            cleaning.order_key(col("ID")).alias("order_id"),
-            written.alias("written"),
-            times.parse_clock(written).alias("time_order_picked"),
-        )
+        .where(found)
+        .select(cleaning.order_key(col("ID")).alias("order_id"), *shown)
     )
 
 
+def wide_rows(raw: DataFrame) -> DataFrame:
+    """Every column the cleaning makes, in no order, before the selection."""
+    parsed = cleaning.parse_columns(cleaning.add_clock_parts(cleaning.normalise_text(raw)))
+    return cleaning.derive_columns(parsed)
+
+
+def clean_all(spark: SparkSession, data_dir: str) -> DataFrame:
+    return cleaning.clean_orders(load_orders(build_session(spark), data_dir))
+
+
+# The metric behind each report table.
+TABLE_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "traffic": lambda df: metrics.category(df, "traffic_density"),
+    "peak": metrics.peak_compare,
+    "city": lambda df: metrics.category(df, "city"),
+    "vehicle": lambda df: metrics.category(df, "vehicle_condition"),
+    "riders": metrics.riders,
+}
+
+
+def shown_table(show: Callable[[DataFrame, str], DataFrame], table: str) -> Query:
+    return over_fact(lambda df: show(TABLE_METRICS[table](df), table))
+
+
+def display_queries() -> dict[str, Query]:
+    """Headings and formats of each report table; the first under the plain name."""
+    suffix = {table: "" if table == "traffic" else f"_{table}" for table in TABLE_METRICS}
+    return {
+        **{
+            f"proj_display_names{suffix[t]}": shown_table(display.display_names, t)
+            for t in TABLE_METRICS
+        },
+        **{
+            f"proj_format{suffix[t]}": shown_table(display.display_format, t)
+            for t in TABLE_METRICS
+        },
+        "proj_format_kpis": over_fact(lambda df: display.headline_cards(metrics.kpis(df))),
+    }
+
+
 def cleaning_queries() -> dict[str, Query]:
     return {
         "clean_colnames": over_raw(padded_names),
@@ -283,22 +328,13 @@ def cleaning_queries() -> dict[str, Query]:
         "feat_peak_flag": feature(
             is_peak_hour=lambda: features.peak_flag(col("order_hour"))
         ),
-        "clean_select": over_fact(cleaning.select_clean),
-        "clean_all": over_raw(cleaning.clean_orders),
+        "clean_select": over_raw(lambda raw: cleaning.select_clean(wide_rows(raw))),
+        "clean_all": clean_all,
         "proj_period_label": feature(
             operational_period=lambda: features.operational_period(col("is_peak_hour")),
             period_label=lambda: features.window_label(col("is_peak_hour")),
         ),
-        "proj_display_names": over_fact(
-            lambda df: display.display_names(
-                metrics.category(df, "traffic_density"), "traffic"
-            )
-        ),
-        "proj_format": over_fact(
-            lambda df: display.display_format(
-                metrics.category(df, "traffic_density"), "traffic"
-            )
-        ),
+        **display_queries(),
     }
 
 
@@ -423,6 +459,8 @@ def metric_queries() -> dict[str, Query]:
         "agg_mean_of_means": over_fact(metrics.mean_of_hourly),
         "agg_threshold_sweep": over_fact(metrics.threshold_sweep),
         "agg_percentiles": over_fact(metrics.percentiles),
+        "agg_time_summary": over_fact(metrics.time_summary),
+        "agg_time_marks": over_fact(metrics.time_marks),
         "agg_describe": over_raw(lambda raw: quality.describe(quality.numeric_view(raw))),
         "agg_histogram": over_fact(
             lambda df: metrics.histogram(df, max_bins=10).select(
@@ -442,7 +480,6 @@ def report_queries() -> dict[str, Query]:
             raw_orders(spark, data_dir), event_deliveries(spark, data_dir)
         ),
         "profile_shape": over_raw(quality.shape),
-        "profile_schema": over_fact(quality.schema_rows),
         "profile_nulls": over_raw(quality.null_counts),
         "profile_duplicates": over_raw(quality.duplicate_count),
         "dq_issue_audit": over_raw(quality.issue_audit),

@@ -8,7 +8,6 @@ from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.operators.cleaning import clean_orders
-from courierlens.session import tuned
 from courierlens.settings import DEFAULT, SlaConfig
 from courierlens.sources import event_orders, fact_table, order_log, shared
 
@@ -22,56 +21,59 @@ def run_cleaning(
     config: SlaConfig = DEFAULT,
     *,
     refresh: bool = True,
+    partitions: int | None = None,
+    splittable: bool = False,
 ) -> DataFrame:
     """Clean a CSV order log into a stored fact table and read it back.
 
-    Overwrites an older table unless ``refresh`` is off.
+    Builds anew unless ``refresh`` is off and a table of this configuration is
+    there. ``partitions`` sizes the one shuffle (``build_session``), ``splittable``
+    is for logs without line breaks inside fields (``scan_raw``).
     """
     return fact_table.build_if_missing(
         spark,
         fact_path,
-        lambda: clean_orders(order_log.scan_raw(tuned(spark), raw_path), config),
+        lambda session: clean_orders(
+            order_log.scan_raw(session, raw_path, splittable=splittable), config
+        ),
+        config,
         refresh=refresh,
-        input_bytes=shared.stored_version(spark, raw_path)[0],
+        partitions=partitions,
     )
 
 
-def event_table_path(spark: SparkSession, data_dir: str, name: str) -> str:
-    """Path of a table derived from the events as they are now."""
-    source = f"{data_dir}/events.parquet"
-    return _versioned_path(spark, source, shared.stored_version(spark, source), name)
-
-
-def _versioned_path(
-    spark: SparkSession, source: str, version: tuple[int, int], name: str
+def event_table_path(
+    spark: SparkSession, data_dir: str, name: str, *, refresh: bool = False
 ) -> str:
-    """The version of the source is part of the path, so changed data get a new
-    table instead of an old answer."""
-    size, modified = version
-    key = sha256(f"{source}|{size}|{modified}".encode()).hexdigest()[:16]
+    """Path of a table derived from the events.
+
+    The version of the source is part of the path; it is looked up once per
+    application, again with ``refresh``.
+    """
+    source = f"{data_dir}/events.parquet"
+    version = shared.stored_version(spark, source, refresh=refresh)
+    key = sha256(repr((source, version)).encode()).hexdigest()[:16]
     return shared.table_path(spark, key, name)
 
 
-def event_deliveries(spark: SparkSession, data_dir: str) -> DataFrame:
+def event_deliveries(
+    spark: SparkSession,
+    data_dir: str,
+    *,
+    refresh: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
     """The fact table of the orders an events table stands for.
 
     Cleaned and stored once per application: the wide step, dropping duplicate
     rows, runs in that one job and every query then reads only the columns it
-    needs. Without a shared folder the rows are derived anew by each query.
+    needs. ``refresh`` looks whether the events have changed since.
     """
-    def build() -> DataFrame:
-        return clean_orders(event_orders.load_orders(tuned(spark), data_dir))
-
-    if shared.shared_root(spark) is None:
-        return build()
-    source = f"{data_dir}/events.parquet"
-    version = shared.stored_version(spark, source)
-    path = _versioned_path(spark, source, version, "deliveries")
+    path = event_table_path(spark, data_dir, "deliveries", refresh=refresh)
     with _build_lock:
         return fact_table.build_if_missing(
-            spark, path, build, input_bytes=version[0] * EVENT_GROWTH
+            spark,
+            path,
+            lambda session: clean_orders(event_orders.load_orders(session, data_dir)),
+            partitions=partitions,
         )
-
-
-# A derived order row is about ten times as wide as the event it stands for.
-EVENT_GROWTH = 10

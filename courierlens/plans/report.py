@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from courierlens.operators import display, insights, metrics
 from courierlens.operators.scope import Scope, apply_scope, scope_share
 from courierlens.operators.time_counts import set_of, time_count_sets, time_counts
-from courierlens.settings import DEFAULT, SlaConfig
+from courierlens.settings import DEFAULT, THRESHOLD_RANGE, SlaConfig
 
 REPORT_DIMS = [
     "order_hour",
@@ -64,18 +64,23 @@ def build_report(
     dimensions takes one pass over the filtered rows; the counts, a few thousand
     rows whatever the number of orders, are cached and all tables but the riders
     and the scope share come from them. Use as a context manager to release them.
-    With a stored ``report_cube`` the counts are added up from it instead.
+    With a stored ``report_cube`` the counts are added up from it instead. A
+    threshold outside the range of the control is an error. ``marks`` are of all
+    deliveries, whatever the scope.
     """
     limit = config.threshold if threshold is None else threshold
+    if not THRESHOLD_RANGE[0] <= limit <= THRESHOLD_RANGE[1]:
+        raise ValueError(f"threshold {limit} is outside {THRESHOLD_RANGE}")
     config = replace(config, threshold=limit)
     scoped = apply_scope(deliveries, scope)
     if cube is None:
         share = scope_share(deliveries, scope)
-        counts = time_count_sets(scoped, REPORT_DIMS, **metrics.distance_totals())
+        joint = time_counts(scoped, *REPORT_DIMS, **metrics.distance_totals())
     else:
         share = scope_share(cube, scope, F.col("n"))
-        sums = {name: F.sum(name) for name in ("n", *metrics.distance_totals())}
-        counts = time_count_sets(apply_scope(cube, scope), REPORT_DIMS, **sums)
+        joint = apply_scope(cube, scope)
+    sums = {name: F.sum(name) for name in ("n", *metrics.distance_totals())}
+    counts = time_count_sets(joint, REPORT_DIMS, **sums)
     counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
 
     def of(dim: str) -> DataFrame:
@@ -88,10 +93,12 @@ def build_report(
     }
     peak = metrics.peak_compare_from(of("is_peak_hour"), limit)
     riders = metrics.riders(scoped, config)
+    kpis = metrics.kpis_from(of("is_peak_hour"), limit)
     minutes = of("is_peak_hour").groupBy("delivery_time_min").agg(F.sum("n").alias("n"))
     tables = {
         "scope_share": share,
-        "kpis": metrics.kpis_from(of("is_peak_hour"), limit),
+        "marks": metrics.time_marks(deliveries),
+        "kpis": kpis,
         "hourly": hourly,
         "peak": peak,
         **by_category,
@@ -103,6 +110,7 @@ def build_report(
         "chart_city": display.chart_city(by_category["city"]),
         "chart_weather": display.chart_weather(by_category["weather"]),
         "chart_distribution": metrics.histogram_from(minutes, limit),
+        "display_kpis": display.headline_cards(kpis, limit),
         "display_traffic": display.display_format(by_category["traffic"], "traffic"),
         "display_peak": display.display_format(peak, "peak"),
         "display_city": display.display_format(by_category["city"], "city"),

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
+from dataclasses import asdict
+from hashlib import sha256
+from uuid import uuid4
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from courierlens.schemas import CLEAN_SCHEMA
+from courierlens.session import build_session
+from courierlens.settings import DEFAULT, SlaConfig
 from courierlens.sources import shared
 
 TABLE_NAME = "deliveries"
+VERSIONS = "time long, folder string, made_with string"
 
 
 def scan_clean(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -43,19 +52,49 @@ def register_table(
     return df.sparkSession.table(name)
 
 
+def _made_with(config: SlaConfig) -> str:
+    """Short name of the configuration and the schema a table is built with."""
+    text = json.dumps([asdict(config), CLEAN_SCHEMA.jsonValue()], sort_keys=True)
+    return sha256(text.encode()).hexdigest()[:16]
+
+
+def current_folder(
+    spark: SparkSession, path: str, config: SlaConfig = DEFAULT
+) -> str | None:
+    """Folder of the newest table built with this configuration and schema."""
+    versions = f"{path}/versions"
+    if not shared.exists(spark, versions):
+        return None
+    noted = spark.read.schema(VERSIONS).parquet(versions)
+    fitting = noted.where(F.col("made_with") == _made_with(config))
+    newest = fitting.orderBy(F.desc("time")).first()
+    return newest and f"{path}/{newest['folder']}"
+
+
 def build_if_missing(
     spark: SparkSession,
     path: str,
-    build: Callable[[], DataFrame],
+    build: Callable[[SparkSession], DataFrame],
+    config: SlaConfig = DEFAULT,
     *,
     refresh: bool = False,
-    input_bytes: int = 0,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Run ``build`` and store its rows unless a complete table is in place."""
-    if refresh or not shared.is_complete(spark, path):
-        with shared.shuffle_sized_for(spark, input_bytes):
-            sink_clean(build(), path)
-    return scan_clean(spark, path)
+    """The table stored under ``path``, built unless one of this configuration is there.
+
+    ``build`` gets a session of its own (``build_session``). Each build goes to a
+    new folder and is noted in the list of versions once it is complete: readers of
+    an older version go on, and a failed build changes nothing. Older folders stay
+    until their owner removes them.
+    """
+    folder = None if refresh else current_folder(spark, path, config)
+    if folder is None:
+        name = f"build-{uuid4().hex}"
+        folder = f"{path}/{name}"
+        sink_clean(build(build_session(spark, partitions)), folder)
+        note = spark.createDataFrame([(time.time_ns(), name, _made_with(config))], VERSIONS)
+        note.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return scan_clean(spark, folder)
 
 
 @contextmanager

@@ -1,79 +1,62 @@
-"""Where derived tables live, and whether one is complete."""
+"""Where derived tables live, and which version of a source they come from."""
 
 from __future__ import annotations
 
-import tempfile
-from contextlib import contextmanager
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 ROOT_SETTING = "spark.checkpoint.dir"
 
-# Upper end for one shuffle: beyond it the map-by-reduce block count costs more
-# than larger, spilling partitions do.
-MAX_SHUFFLE_PARTITIONS = 50_000
-SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
-
-_local_roots: dict[str, str] = {}
+Version = tuple[int, int, int]
+_versions: dict[tuple[str, str], Version] = {}
 
 
-def shared_root(spark: SparkSession) -> str | None:
-    """Folder every executor can reach, or None when the cluster names none.
+def shared_root(spark: SparkSession) -> str:
+    """Folder that the driver and every executor reach.
 
-    A local session without the setting gets a folder of its own.
+    What ``spark.checkpoint.dir`` names; where that is unset, a folder in the
+    warehouse, which a cluster shares as well. Never a folder of one machine's own.
     """
-    root = spark.conf.get(ROOT_SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="courierlens-")
-    return _local_roots[app]
+    named = spark.conf.get(ROOT_SETTING, "")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return (named or f"{warehouse}/_scratch").rstrip("/")
 
 
 def table_path(spark: SparkSession, *parts: str) -> str:
     """Path of a derived table, kept apart per application."""
-    root = shared_root(spark)
-    if root is None:
-        raise ValueError(f"set {ROOT_SETTING} to a folder all executors can reach")
-    return "/".join((root, "courierlens", spark.sparkContext.applicationId, *parts))
+    app = spark.sparkContext.applicationId
+    return "/".join((shared_root(spark), "courierlens", app, *parts))
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return hadoop_path.getFileSystem(conf), hadoop_path
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True once the write that filled ``path`` has committed."""
-    fs, success = _file_system(spark, f"{path}/_SUCCESS")
-    return fs.exists(success)
-
+    return exists(spark, f"{path}/_SUCCESS")
 
-def stored_version(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Bytes under ``path`` and its modification time."""
-    fs, target = _file_system(spark, path)
-    status = fs.getFileStatus(target)
-    return fs.getContentSummary(target).getLength(), status.getModificationTime()
 
+def stored_version(spark: SparkSession, path: str, *, refresh: bool = False) -> Version:
+    """Number of files under ``path``, their bytes and the newest one's time.
 
-@contextmanager
-def shuffle_sized_for(spark: SparkSession, input_bytes: int):
-    """Raise the shuffle partition count to fit the input, for one action.
-
-    The count is fixed when a plan is made, before adaptive execution sees any
-    data; adaptive execution then merges partitions that turn out small. It is
-    never lowered below the session's own setting.
+    Listed by Spark once per application and path, then remembered; ``refresh``
+    lists again. A rewrite of equal size shows in the time of its files.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = int(spark.conf.get(key))
-    wanted = min(input_bytes // SHUFFLE_PARTITION_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
-    spark.conf.set(key, str(max(before, wanted)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, str(before))
+    key = (spark.sparkContext.applicationId, path)
+    if refresh or key not in _versions:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        row = files.agg(
+            F.count("path"),
+            F.coalesce(F.sum("length"), F.lit(0)),
+            F.coalesce(F.max(F.unix_micros("modificationTime")), F.lit(0)),
+        ).first()
+        _versions[key] = tuple(row)
+    return _versions[key]

@@ -5,10 +5,10 @@ Written independently of the Spark code: plain SQL over the ``events`` view.
 
 from __future__ import annotations
 
-from courierlens.settings import MISSING_MARKERS, WHITESPACE
+from oracle.values import MISSING_MARKERS, WHITESPACE
 
 MARKERS = ", ".join(f"'{m}'" for m in MISSING_MARKERS)
-SPACES = "concat(" + ", ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
+SPACES = "concat(" + ", ".join(f"chr({c})" for c in WHITESPACE) + ")"
 DECIMAL = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
 
 RAW_COLUMNS = (

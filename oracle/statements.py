@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from courierlens.operators.display import TABLES
-from courierlens.operators.insights import COMPARISONS
 from oracle.base import (
+    CLEAN,
+    DECIMAL,
     MARKERS,
+    RAW,
     RAW_COLUMNS,
     TEXT_COLUMNS,
     fixed,
@@ -13,7 +14,10 @@ from oracle.base import (
     from_parsed,
     from_raw,
     half_up,
+    parsed,
 )
+from oracle.values import INSIGHTS as TEXTS
+from oracle.values import TABLES
 
 N = "count(*)"
 TOTAL = "(SELECT count(*) FROM clean)"
@@ -162,7 +166,8 @@ def pack_rows() -> str:
             parts.append(
                 f"SELECT {number} AS query_no, '{name}' AS query_name, "
                 f"'{title}' AS title, CAST({key} AS VARCHAR) AS row_key, "
-                f"'{measure}' AS measure, CAST({measure} AS DOUBLE) AS value FROM {name}"
+                f"'{measure}' AS measure, CAST({measure} AS DOUBLE) AS value, "
+                f"CAST(NULL AS VARCHAR) AS error FROM {name}"
             )
     ctes = [f"{name} AS ({sql})" for name, sql in PACK.items()]
     return from_clean(" UNION ALL ".join(parts), *ctes)
@@ -392,8 +397,8 @@ def quoted(text: str) -> str:
 
 
 def insight(ordinal: int) -> str:
-    c = COMPARISONS[ordinal - 1]
-    if c.name == "dinner":
+    c = TEXTS[ordinal - 1]
+    if c['name'] == "dinner":
         figures = {
             f"{side}_{figure}": f"(SELECT avg({source}) FROM ({HOURLY}) "
             f"WHERE order_hour {test} BETWEEN 18 AND 21)"
@@ -404,31 +409,31 @@ def insight(ordinal: int) -> str:
     else:
         figures = {
             f"{side}_{figure}": f"(SELECT CASE WHEN count(*) > 0 THEN {formula} END "
-            f"FROM clean WHERE {c.dim} = {quoted(str(value))})"
-            for side, value in (("first", c.first), ("second", c.second))
+            f"FROM clean WHERE {c['dim']} = {quoted(str(value))})"
+            for side, value in (("first", c['first']), ("second", c['second']))
             for figure, formula in (("mean", MEAN), ("rate", rate()))
         }
     inner = ", ".join(f"{sql} AS {name}" for name, sql in figures.items())
-    numbers = [f"coalesce({fixed(n, 1)}, 'nan')" for n in c.numbers]
-    pieces = [quoted(p.replace("%%", "%")) for p in c.evidence.split("%s")]
+    numbers = [f"coalesce({fixed(n, 1)}, 'nan')" for n in c['numbers']]
+    pieces = [quoted(p.replace("%%", "%")) for p in c['evidence'].split("%s")]
     evidence = pieces[0] + "".join(
         f" || {n} || {p}" for n, p in zip(numbers, pieces[1:])
     )
     rounded = ", ".join(
         f"{half_up(n, 6)} AS {n}" for n in (*figures, "difference")
     )
-    second = "" if c.name == "dinner" else " AND second_mean IS NOT NULL"
-    return f"""SELECT {ordinal} AS ordinal, '{c.name}' AS name,
-        {quoted(c.title)} AS title, {quoted(c.pattern)} AS pattern,
+    second = "" if c['name'] == "dinner" else " AND second_mean IS NOT NULL"
+    return f"""SELECT {ordinal} AS ordinal, '{c['name']}' AS name,
+        {quoted(c['title'])} AS title, {quoted(c['pattern'])} AS pattern,
         {evidence} AS evidence,
-        {quoted(c.operational_meaning)} AS operational_meaning,
-        {quoted(c.limitation)} AS limitation, {rounded}
+        {quoted(c['operational_meaning'])} AS operational_meaning,
+        {quoted(c['limitation'])} AS limitation, {rounded}
         FROM (SELECT *, second_mean - first_mean AS difference FROM (SELECT {inner}))
         WHERE first_mean IS NOT NULL{second}"""
 
 
 INSIGHTS = {
-    f"insight_{c.name}": insight(i) for i, c in enumerate(COMPARISONS, 1)
+    f"insight_{c['name']}": insight(i) for i, c in enumerate(TEXTS, 1)
 }
 INSIGHTS["insights"] = " UNION ALL ".join(list(INSIGHTS.values()))
 
@@ -465,16 +470,67 @@ FEATURES = {
 }
 
 
-def display_columns(formatted: bool) -> str:
+TABLE_ROWS = {
+    "traffic": summary("traffic_density"),
+    "peak": METRICS["agg_peak_compare"],
+    "city": summary("city"),
+    "vehicle": summary("vehicle_condition"),
+    "riders": RIDERS,
+}
+
+
+def display_columns(table: str, formatted: bool) -> str:
     shown = []
-    for column, (heading, fmt) in TABLES["traffic"].items():
+    for column, heading, places, unit in TABLES[table]:
         value = column
-        if formatted and fmt == "count":
+        if formatted and places == 0:
             value = f"format('{{:,}}', {column})"
-        elif formatted and fmt.startswith("%"):
-            value = fixed(column, int(fmt[2])) + (" || '%'" if fmt.endswith("%%") else "")
+        elif formatted and places is not None:
+            value = fixed(column, places) + (f" || '{unit}'" if unit else "")
         shown.append(f'{value} AS "{heading}"')
-    return f"SELECT {', '.join(shown)} FROM ({summary('traffic_density')})"
+    return f"SELECT {', '.join(shown)} FROM ({TABLE_ROWS[table]})"
+
+
+def cards() -> str:
+    """Title, value and subtitle of the headline cards."""
+    rows = (
+        ("Total Deliveries", "format('{:,}', total_orders)", "'Active in Scope'"),
+        ("SLA Violations", "format('{:,}', sla_violations)", "'Orders > 30 min'"),
+        ("SLA Violation Rate", f"{fixed('sla_violation_rate', 1)} || '%'",
+         "'Breach Frequency'"),
+        ("Avg Delivery Time", f"{fixed('avg_time', 1)} || ' min'",
+         f"'Median: ' || {fixed('median_time', 0)} || ' min'"),
+        ("Dinner Peak Orders", "format('{:,}', peak_orders)",
+         f"{fixed('peak_share_pct', 1)} || '% of Volume'"),
+    )
+    return " UNION ALL ".join(
+        f"SELECT {i} AS position, '{title}' AS title, {value} AS value, "
+        f"{below} AS subtitle FROM ({KPIS})"
+        for i, (title, value, below) in enumerate(rows, 1)
+    )
+
+
+def display_statements() -> dict[str, str]:
+    found = {}
+    for table in TABLE_ROWS:
+        suffix = "" if table == "traffic" else f"_{table}"
+        found[f"proj_display_names{suffix}"] = display_columns(table, formatted=False)
+        found[f"proj_format{suffix}"] = display_columns(table, formatted=True)
+    found["proj_format_kpis"] = cards()
+    return {name: from_clean(sql) for name, sql in found.items()}
+
+
+POINTS = (0.05, 0.10, 0.25, 0.50, 0.75, 0.80, 0.90, 0.95)
+TIME_SUMMARY = f"""SELECT count(delivery_time_min) AS count,
+    {half_up(MEAN, 6)} AS mean,
+    {half_up('stddev_samp(delivery_time_min)', 6)} AS std,
+    min(delivery_time_min) AS min, """ + ", ".join(
+    f"{half_up(f'CAST(quantile_cont(delivery_time_min, {p}) AS DOUBLE)', 6)} "
+    f"AS p{round(p * 100):02d}"
+    for p in POINTS
+) + ", max(delivery_time_min) AS max FROM clean"
+TIME_MARKS = """SELECT CAST(median(delivery_time_min) AS DOUBLE) AS median_minutes,
+    CAST(quantile_cont(delivery_time_min, 0.75) AS DOUBLE) AS q3_minutes FROM clean"""
 
 
 # --- raw log --------------------------------------------------------------------------
@@ -493,27 +549,6 @@ def issue(name: str, test: str) -> str:
         FROM parsed"""
 
 
-CLEAN_TYPES = """order_id string, delivery_person_id string, delivery_person_age double,
-delivery_person_rating double, restaurant_latitude double, restaurant_longitude double,
-delivery_location_latitude double, delivery_location_longitude double,
-delivery_distance_km double, order_date date, time_ordered string,
-time_order_picked string, order_hour int, order_day int, order_month int,
-order_day_name string, is_weekend int, pickup_delay_minutes int, weather string,
-traffic_density string, vehicle_condition int, order_type string, vehicle_type string,
-multiple_deliveries int, festival string, city string, delivery_time_min int,
-is_sla_violated int, is_peak_hour int, peak_period string"""
-
-
-def schema_rows() -> str:
-    rows = ", ".join(
-        f"({i}, '{name}', '{kind}')"
-        for i, (name, kind) in enumerate(
-            (part.split() for part in CLEAN_TYPES.split(",")), 1
-        )
-    )
-    return f"""SELECT * FROM (VALUES {rows}) AS t(position, column_name, data_type)"""
-
-
 def read_back() -> str:
     """The raw log after a CSV round trip: exact missing markers become null."""
     columns = ", ".join(
@@ -524,6 +559,28 @@ def read_back() -> str:
     return f"SELECT {columns} FROM raw"
 
 
+def fraction(column: str) -> str:
+    """Second of the day of a time written as a fraction, null for other notations."""
+    return f"""CASE WHEN regexp_full_match({column}, '{DECIMAL}')
+        THEN round_even(CAST({column} AS DOUBLE) * 24 * 3600, 0) % 86400 END"""
+
+
+ORDERED, PICKED = '"r_Time_Orderd"', '"r_Time_Order_picked"'
+FRACTIONS = f"""SELECT * FROM (SELECT order_id,
+    {fraction(ORDERED)} AS time_ordered_second, time_ordered,
+    {fraction(PICKED)} AS time_order_picked_second, time_order_picked FROM parsed)
+    WHERE time_ordered_second IS NOT NULL OR time_order_picked_second IS NOT NULL"""
+
+
+def past_day(column: str) -> str:
+    return f"""coalesce(contains({column}, ':')
+        AND TRY_CAST(split_part({column}, ':', 1) AS INT) >= 24, false)"""
+
+
+ROLLOVERS = f"""SELECT order_id, {ORDERED} AS time_ordered_written, time_ordered,
+    {PICKED} AS time_order_picked_written, time_order_picked
+    FROM parsed WHERE {past_day(ORDERED)} OR {past_day(PICKED)}"""
+
 DECIMAL_TIME = "NOT contains(\"r_Time_Orderd\", ':')"
 
 QUALITY = f"""SELECT {N} AS clean_rows, 30 AS sla_threshold,
@@ -560,28 +617,23 @@ def statements() -> dict[str, str]:
             f"{scoped_summary('city')} UNION ALL {scoped_summary('weather')}",
             f"scoped AS (SELECT * FROM clean WHERE {IN_SCOPE})",
         ),
-        "clean_colnames": from_raw('SELECT "ID", "City", "Time_taken (min)" FROM raw'),
+        "clean_colnames": from_raw("SELECT * FROM raw"),
         "clean_dedup": from_raw("SELECT DISTINCT * FROM raw"),
         **{
             name: from_parsed(f"SELECT order_id, {columns} FROM parsed")
             for name, columns in RULES.items()
         },
-        "clean_excel_fraction": from_parsed(
-            f"""SELECT order_id, round_even(CAST("r_Time_Orderd" AS DOUBLE) * 24 * 3600, 0)
-            % 86400 AS second_of_day, time_ordered FROM parsed WHERE {DECIMAL_TIME}"""
-        ),
-        "clean_midnight_rollover": from_parsed(
-            """SELECT order_id, "r_Time_Order_picked" AS written, time_order_picked
-            FROM parsed WHERE CAST(split_part("r_Time_Order_picked", ':', 1) AS INT) >= 24"""
-        ),
+        "clean_excel_fraction": from_parsed(FRACTIONS),
+        "clean_midnight_rollover": from_parsed(ROLLOVERS),
         **{
             name: from_clean(f"SELECT order_id, {columns} FROM clean")
             for name, columns in FEATURES.items()
         },
-        "clean_select": every_clean,
+        "clean_select": f"WITH {RAW}, {parsed('raw')}, {CLEAN} SELECT * FROM clean",
         "clean_all": every_clean,
-        "proj_display_names": from_clean(display_columns(formatted=False)),
-        "proj_format": from_clean(display_columns(formatted=True)),
+        **display_statements(),
+        "agg_time_summary": from_clean(TIME_SUMMARY),
+        "agg_time_marks": from_clean(TIME_MARKS),
         **{name: from_clean(sql) for name, sql in FILTERS.items()},
         "limit_head": from_raw('SELECT * FROM raw ORDER BY "ID" LIMIT 5'),
         **{name: from_clean(sql) for name, sql in METRICS.items()},
@@ -592,7 +644,6 @@ def statements() -> dict[str, str]:
         "profile_shape": from_raw(
             "SELECT count(*) AS row_count, 20 AS column_count FROM raw"
         ),
-        "profile_schema": schema_rows(),
         "profile_nulls": from_raw(" UNION ALL ".join(missing(c) for c in RAW_COLUMNS)),
         "profile_duplicates": from_raw(
             """SELECT (SELECT count(*) FROM raw)

@@ -132,12 +132,28 @@ def test_pickup_delay(raw_row, ordered, picked, expected):
         ((13.0, 77.0, 1.0, 77.1), None),
         ((None, 77.0, 13.0, 77.0), None),
         ((13.0, 77.0, None, 77.0), None),
+        *[
+            (tuple(bad if i == k else 13.0 for i in range(4)), None)
+            for k in range(4)
+            for bad in (float("nan"), float("inf"), float("-inf"))
+        ],
     ],
 )
 def test_distance(spark, gps, expected):
     assert one(spark, geo.haversine_km, *gps, types="double") == expected
 
 
+def test_not_a_number_is_no_position(spark):
+    nan = float("nan")
+    assert one(spark, geo.gps_valid, 13.0, 77.0, nan, 77.0, types="double") is False
+    assert one(spark, geo.gps_valid, 13.0, 77.0, 13.0, nan, types="double") is False
+
+
+@pytest.mark.parametrize("written", ["1e999", "-1e999", "nan", "inf"])
+def test_numbers_beyond_the_doubles_are_missing(spark, written):
+    assert one(spark, text.number, written) is None
+
+
 def test_inverted_restaurant_is_repaired(spark):
     straight = one(spark, geo.haversine_km, 13.0, 77.0, 13.1, 77.1, types="double")
     inverted = one(spark, geo.haversine_km, -13.0, 77.0, 13.1, 77.1, types="double")
@@ -204,6 +220,16 @@ def test_missing_required_number_fails_the_run(raw_row, column):
         cleaning.clean_orders(raw_row({column: None})).collect()
 
 
+def test_bad_date_fails_without_ansi_too(spark, raw_row):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        raw = raw_row({"Order_Date": "2022/02/11"})
+        with pytest.raises(Exception, match="unreadable date"):
+            cleaning.clean_orders(raw).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_bad_date_fails_unless_lenient(spark, raw_row):
     with pytest.raises(PySparkException):
         cleaning.clean_orders(raw_row({"Order_Date": "2022/02/11"})).collect()

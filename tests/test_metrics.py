@@ -10,7 +10,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from courierlens.operators import insights, metrics, quality
-from courierlens.operators.quantiles import exact_percentiles, spans_of
 from courierlens.operators.time_counts import set_of, time_count_sets, time_counts
 from courierlens.plans.query_pack import query_pack, run_query
 from courierlens.settings import SlaConfig
@@ -106,17 +105,19 @@ def test_median_of_a_hot_group(spark):
     assert row["median_delivery_time"] == 30.0
 
 
-def numpy_percentiles(values, points):
-    import numpy as np
+QUARTILES = ("q1", "median", "q3")
 
-    return [float(v) for v in np.percentile(values, [p * 100 for p in points])]
 
+def numpy_quartiles(values):
+    import numpy as np
 
-def percentiles_of(df, points):
-    return exact_percentiles(df, spans_of(df, df.columns), points)
+    with np.errstate(invalid="ignore"):
+        return [float(v) for v in np.percentile(values, [25, 50, 75])]
 
 
-POINTS = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
+def quartiles_of(df, column="x"):
+    rows = {r["column_name"]: r for r in quality.describe(df).collect()}
+    return [rows[column][q] for q in QUARTILES]
 
 
 @settings(max_examples=10, deadline=None)
@@ -129,25 +130,48 @@ POINTS = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
         max_size=40,
     )
 )
-def test_exact_percentiles_match_numpy(spark, values):
+def test_quartiles_match_numpy(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = percentiles_of(df, POINTS)["x"]
-    assert got == pytest.approx(numpy_percentiles(values, POINTS), rel=1e-12, abs=1e-9)
+    assert quartiles_of(df) == pytest.approx(numpy_quartiles(values), rel=1e-12, abs=1e-6)
 
 
-def test_exact_percentiles_with_one_value_in_a_third_of_the_rows(spark):
+def test_quartiles_of_many_rows_with_one_value_in_a_third(spark):
+    """More rows than a bracket takes whole, over many powers of ten."""
     rng = random.Random(7)
-    values = [12.5 if i % 3 == 0 else rng.gauss(20, 9) for i in range(5000)]
+    values = [
+        12.5 if i % 3 == 0 else rng.gauss(20, 9) * 10.0 ** rng.randint(-3, 3)
+        for i in range(60_000)
+    ]
     df = spark.createDataFrame([(v, None) for v in values], "x double, y double")
-    got = percentiles_of(df.repartition(4), POINTS)
-    assert got["x"] == pytest.approx(numpy_percentiles(values, POINTS), rel=1e-12)
-    assert got["y"] == [None] * len(POINTS)
+    rows = {r["column_name"]: r for r in quality.describe(df.repartition(4)).collect()}
+    assert [rows["x"][q] for q in QUARTILES] == pytest.approx(numpy_quartiles(values), abs=1e-6)
+    assert rows["x"]["count"] == 60_000
+    assert [rows["y"][q] for q in QUARTILES] == [None] * 3
 
 
 def test_whole_double_range(spark):
     values = [-1.7e308, -1.0, 0.0, 1.0, 1.7e308]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    assert percentiles_of(df, (0.25, 0.5, 0.75))["x"] == [-1.0, 0.0, 1.0]
+    assert quartiles_of(df) == [-1.0, 0.0, 1.0]
+
+
+def test_infinite_values_count_and_not_a_number_is_missing(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 4.0, inf)], "x double")
+    row = quality.describe(df).first()
+    assert (row["count"], row["max"], row["mean"]) == (5, inf, inf)
+    assert [row[q] for q in QUARTILES] == [2.0, 3.0, 4.0]
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 4.0, nan)], "x double")
+    row = quality.describe(df).first()
+    assert (row["count"], row["mean"]) == (4, 2.5)
+    assert [row[q] for q in QUARTILES] == [1.75, 2.5, 3.25]
+    counts = {r["column_name"]: r["missing_count"] for r in quality.null_counts(df).collect()}
+    assert counts == {"x": 1}
+
+
+def test_schema_rows(fact):
+    rows = quality.schema_rows(fact).collect()
+    assert len(rows) == 30 and tuple(rows[0]) == (1, "order_id", "string")
 
 
 def test_describe_of_an_empty_table(fact):
@@ -157,13 +181,15 @@ def test_describe_of_an_empty_table(fact):
 
 @pytest.mark.parametrize(
     ("low", "high", "bins", "width"),
-    [(10, 54, 45, 1.0), (10, 54, 10, 5.0), (0, 90, 45, 2.0), (0, 900, 45, 20.0),
-     (7, 7, 45, 1.0), (0, 4500, 45, 100.0)],
+    [(10, 54, 45, 1.0), (10, 54, 10, 5.0), (0, 90, 45, 5.0), (0, 89, 45, 2.0), (0, 900, 45, 50.0),
+     (7, 7, 45, 1.0), (0, 4500, 45, 200.0), (9, 54, 45, 2.0), (14, 64, 10, 10.0),
+     (-7, 54, 10, 10.0)],
 )
 def test_histogram_width(spark, low, high, bins, width):
     df = spark.createDataFrame([(low,), (high,)], "delivery_time_min int")
     rows = metrics.histogram(df, max_bins=bins).collect()
     assert {r["bin_width"] for r in rows} == {width}
+    assert high // width - low // width + 1 <= bins
     assert sum(r["order_count"] for r in rows) == 2
 
 
@@ -185,8 +211,17 @@ def test_insights_of_nothing(fact):
     assert insights.insights(fact.where("false")).collect() == []
 
 
+def test_marks_are_of_the_whole_table(fact):
+    import numpy as np
+
+    minutes = [r[0] for r in fact.select("delivery_time_min").collect()]
+    row = metrics.time_marks(fact).first()
+    assert tuple(row) == (float(np.median(minutes)), float(np.percentile(minutes, 75)))
+    assert metrics.time_summary(fact.where("false")).first()["count"] == 0
+
+
 def test_duplicates_with_nulls(spark):
-    df = spark.createDataFrame([(1, None)] * 4 + [(2, "x")], "a int, b string")
+    df = spark.createDataFrame([(1, None)] * 4 + [(2, "x"), (2, "-"), (2, "")], "a int, b string")
     assert quality.duplicate_count(df).first()[0] == 3
     assert quality.duplicate_count(df.where("false")).first()[0] == 0
 

@@ -6,14 +6,14 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from courierlens.operators import metrics
 from courierlens.operators.scope import Scope, apply_scope
+from courierlens.plans.catalogue import all_queries
 from courierlens.plans.query_pack import PackQuery, pack_rows, query_pack, run_pack
 from courierlens.plans.report import build_report
 from tests.conftest import DATA_DIR
 
-QUERIES = queries()
+QUERIES = all_queries()
 PYTHON = re.compile("EvalPython|InPandas|InArrow|MapPartitions|ScanExistingRDD")
 
 
@@ -36,8 +36,7 @@ def scans(plan: str) -> int:
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_no_cross_join(spark, name):
     text = QUERIES[name](spark, DATA_DIR)._jdf.queryExecution().toString()
-    # Two results are a handful of rows made on the driver.
-    assert not PYTHON.search(text) or name in ("profile_schema", "agg_describe")
+    assert not PYTHON.search(text)
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
@@ -53,6 +52,25 @@ def test_metric_reads_the_table_once(spark, plan, name):
     assert scans(text) <= 1, text
 
 
+def test_describe_reads_the_rows_three_times_whatever_they_are(spark, plan):
+    # one pass before the plan is made, two in it
+    final = plan(QUERIES["agg_describe"](spark, DATA_DIR)).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 2
+
+
+def test_query_pack_reads_the_table_twice_and_sorts_nothing(spark, plan):
+    text = plan(QUERIES["query_pack"](spark, DATA_DIR))
+    final = text.split("== Initial Plan ==")[0]
+    assert scans(text) <= 2
+    assert "Window" not in final and "Sort [" not in final
+
+
+def test_insights_multiply_counts_not_rows(spark, plan):
+    final = plan(QUERIES["insights"](spark, DATA_DIR)).split("== Initial Plan ==")[0]
+    expand = final.index("Expand")
+    assert "Exchange hashpartitioning" in final[expand:]
+
+
 def test_scope_is_pushed_into_the_scan(fact, plan):
     chosen = Scope(cities=("Urban", "Semi-Urban"), festival="No")
     text = plan(metrics.kpis(apply_scope(fact, chosen)))
@@ -92,7 +110,17 @@ def test_failing_query_is_recorded_and_the_rest_run(spark, fact):
     assert outcomes["broken"].table is None
     assert "nothing" in outcomes["broken"].error
     assert sum(o.table is not None for o in outcomes.values()) == 10
-    assert pack_rows(spark, fact, pack).select("query_name").distinct().count() == 10
+    rows = pack_rows(spark, fact, pack).collect()
+    assert {r["query_name"] for r in rows} == set(pack)
+    (failed,) = [r for r in rows if r["error"]]
+    assert failed["query_name"] == "broken" and "nothing" in failed["error"]
+
+
+def test_pack_of_failing_queries_has_their_errors(spark, fact):
+    pack = {n: PackQuery(n, (), (), f"SELECT {n} FROM {{deliveries}}") for n in ("a1", "b1")}
+    assert [r["error"] is None for r in pack_rows(spark, fact, pack).collect()] == [False] * 2
+    rows = pack_rows(spark, fact.drop("city")).collect()
+    assert len({r["query_name"] for r in rows}) == 10 and any(r["error"] for r in rows)
 
 
 def test_error_of_the_run_itself_is_recorded(spark, fact):

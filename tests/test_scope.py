@@ -84,3 +84,15 @@ def test_report_of_an_empty_scope(fact):
     with build_report(fact, Scope(cities=("Nowhere",))) as report:
         assert report.tables["kpis"].first()["total_orders"] == 0
         assert report.tables["insights"].count() == 0
+
+
+@pytest.mark.parametrize("chosen", [{"festival": "Maybe"}, {"period": "Dinner"}])
+def test_unknown_choices_are_errors(chosen):
+    with pytest.raises(ValueError, match="is none of"):
+        Scope(**chosen)
+
+
+@pytest.mark.parametrize("threshold", [19, 46])
+def test_threshold_outside_the_control_is_an_error(fact, threshold):
+    with pytest.raises(ValueError, match="outside"):
+        build_report(fact, threshold=threshold)
