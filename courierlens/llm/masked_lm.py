@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -44,24 +45,19 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-class Vocabulary(dict):
+class Vocabulary:
     """Numbers of words: the commonest by rank, others by hash."""
 
     def __init__(self, common: list[bytes], classes: int = CLASSES, hashed: int = HASHED):
-        super().__init__((w, i) for i, w in enumerate(common))
+        self.rank = {w: i for i, w in enumerate(common)}
         self.own, self.hashed, self.size = classes * classes - hashed, hashed, classes * classes
 
-    def __missing__(self, word: bytes) -> int:
-        return self.own + zlib.crc32(word) % self.hashed
-
-    def __reduce__(self):
-        return _vocabulary, (list(self), self.own, self.hashed, self.size)
-
-
-def _vocabulary(common: list[bytes], own: int, hashed: int, size: int) -> Vocabulary:
-    found = Vocabulary(common)
-    found.own, found.hashed, found.size = own, hashed, size
-    return found
+    def ids(self, tokens: list[bytes]) -> np.ndarray:
+        found = np.fromiter(map(self.rank.get, tokens, repeat(-1)), np.int64, len(tokens))
+        others = np.flatnonzero(found < 0)
+        hashes = map(zlib.crc32, map(tokens.__getitem__, others.tolist()))
+        found[others] = self.own + np.fromiter(hashes, np.int64, len(others)) % self.hashed
+        return found
 
 
 class Network:
@@ -95,57 +91,70 @@ class Network:
         return np.stack([ids[at + d] for d in steps])
 
     def hidden(self, seen: np.ndarray) -> np.ndarray:
-        total = self.part["bias"] + self.part["seen"][0][seen[0]]
+        total = self.part["seen"][0].take(seen[0], axis=0)
         for k in range(1, len(seen)):
-            total += self.part["seen"][k][seen[k]]
-        return np.tanh(total)
+            total += self.part["seen"][k].take(seen[k], axis=0)
+        total += self.part["bias"]
+        return np.tanh(total, out=total)
+
+    def steep(self) -> bool:
+        """Whether scores may get too large for plain exponentials; hidden units stay within 1."""
+        p = self.part
+        group = np.abs(p["group"]).sum(axis=0) + np.abs(p["group_bias"])
+        member = np.abs(p["member"]).sum(axis=1) + np.abs(p["member_bias"])
+        return max(group.max(), member.max()) > 80
 
     @staticmethod
-    def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities, and logs of the sums that they are divided by, in place."""
-        top = x.max(axis=1, keepdims=True)
-        x -= top
+    def _exponentials(x: np.ndarray, steep: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials in place and the sum of each row; first less the row's maximum if steep."""
+        if steep:
+            x -= x.max(axis=1, keepdims=True)
         np.exp(x, out=x)
-        total = x.sum(axis=1, keepdims=True)
-        x /= total
-        return x, top[:, 0] + np.log(total[:, 0])
+        return x, x @ np.ones(x.shape[1], x.dtype)
+
+    def _predict(self, x: np.ndarray, chosen: np.ndarray, steep: bool, train: bool):
+        """Log-probabilities of the chosen columns of scores; in training the scores' gradient, too."""
+        at = np.arange(len(x)) * x.shape[1] + chosen
+        x, total = self._exponentials(x, steep)
+        logs = np.log(x.ravel()[at] / total)
+        if train:
+            x /= total[:, None]
+            x.ravel()[at] -= 1
+        return logs, x
 
     def step(self, ids: np.ndarray, at: np.ndarray, squares: np.ndarray | None = None, rate: float = RATE):
         """Log-probabilities of the words at the places; with squares (of past gradients), train on them."""
-        p, c = self.part, self.classes
+        p, c, train = self.part, self.classes, squares is not None
         target = ids[at]
         order = np.argsort((target // c).astype(np.uint16), kind="stable")  # words of a class side by side
         at, target = at[order], target[order]
         group, member = target // c, target % c
         seen = self.window(ids, at)
         h = self.hidden(seen)
-        rows = np.arange(len(at))
-        score = h @ p["group"] + p["group_bias"]
-        picked = score[rows, group]
-        chance, log = self._softmax(score)
-        logs = picked - log
-        if squares is not None:
+        steep = self.steep()
+        score = h @ p["group"]
+        score += p["group_bias"]
+        logs, slope = self._predict(score, group, steep, train)
+        if train:
             grad = np.zeros_like(self.flat)
             g = self.parts(grad, self.shapes, self.sizes)
-            chance[rows, group] -= 1
-            g["group"][:] = h.T @ chance
-            g["group_bias"][:] = chance.sum(axis=0)
-            back = chance @ p["group"].T
+            g["group"][:] = h.T @ slope
+            g["group_bias"][:] = slope.sum(axis=0)
+            back = slope @ p["group"].T
         ends = np.searchsorted(group, np.arange(c + 1))
         for k in range(c):
             lo, hi = ends[k], ends[k + 1]
             if lo == hi:
                 continue
-            own = h[lo:hi] @ p["member"][k] + p["member_bias"][k]
-            picked = own[np.arange(hi - lo), member[lo:hi]]
-            chance, log = self._softmax(own)
-            logs[lo:hi] += picked - log
-            if squares is not None:
-                chance[np.arange(hi - lo), member[lo:hi]] -= 1
-                g["member"][k] = h[lo:hi].T @ chance
-                g["member_bias"][k] = chance.sum(axis=0)
-                back[lo:hi] += chance @ p["member"][k].T
-        if squares is not None:
+            own = h[lo:hi] @ p["member"][k]
+            own += p["member_bias"][k]
+            more, slope = self._predict(own, member[lo:hi], steep, train)
+            logs[lo:hi] += more
+            if train:
+                g["member"][k] = h[lo:hi].T @ slope
+                g["member_bias"][k] = slope.sum(axis=0)
+                back[lo:hi] += slope @ p["member"][k].T
+        if train:
             back *= 1 - h * h
             g["bias"][:] = back.sum(axis=0)
             back = np.ascontiguousarray(back.T)
@@ -165,7 +174,7 @@ def _streams(texts: Iterator[str | None], vocabulary: Vocabulary, side: int) ->
     edge = np.full(side, vocabulary.size, np.int64)
     parts, places, owners, size = [edge], [], [], side
     for number, text in enumerate(texts):
-        ids = np.array(list(map(vocabulary.__getitem__, words(text))), dtype=np.int64)
+        ids = vocabulary.ids(words(text))
         parts += [ids, edge]
         places.append(size + np.arange(len(ids)))
         owners.append(np.full(len(ids), number))
