@@ -159,6 +159,48 @@ ORACLE_SQL = {
                (size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM rates
     """,
+    # CRC-32 bit by bit, since DuckDB has no function for it
+    "op7_language_id": r"""
+        WITH numbered AS (
+            SELECT row_number() OVER () AS row, doc_id, text, lang,
+                   coalesce((4294967295 - list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(
+                           string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                       lambda crc, byte: list_reduce(
+                           list_prepend(xor(crc, byte), range(8)),
+                           lambda x, bit: xor(x >> 1, (x & 1) * 3988292384)))) % 4 = 2, false) AS held_out
+            FROM documents
+        ), words AS (
+            SELECT row, lang, held_out,
+                   ' ' || unnest(regexp_extract_all(lower(text), '\p{L}+')) || ' ' AS word
+            FROM numbered
+        ), grams AS (
+            SELECT row, lang, held_out, substr(word, i, n) AS gram
+            FROM (
+                SELECT row, lang, held_out, word, n, unnest(range(1, len(word) - n + 2)) AS i
+                FROM words, (SELECT unnest([1, 2, 3]) AS n)
+            )
+        ), counts AS (
+            SELECT row, lang, held_out, gram, count(*) AS n FROM grams WHERE gram <> ' ' GROUP BY ALL
+        ), profiles AS (
+            SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, gram) - 1 AS place
+            FROM counts WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang, gram
+            QUALIFY place < 300
+        ), tops AS (
+            SELECT row, gram, row_number() OVER (PARTITION BY row ORDER BY n DESC, gram) - 1 AS place
+            FROM counts QUALIFY place < 300
+        ), away AS (
+            SELECT t.row, l.lang, sum(abs(coalesce(p.place, 300) - t.place)) AS away, count(*) AS size
+            FROM tops t CROSS JOIN (SELECT DISTINCT lang FROM profiles) l
+            LEFT JOIN profiles p ON p.lang = l.lang AND p.gram = t.gram
+            GROUP BY t.row, l.lang
+        ), best AS (
+            SELECT row, lang, 1 - away::DOUBLE / (size * 300) AS score
+            FROM away QUALIFY row_number() OVER (PARTITION BY row ORDER BY away, lang) = 1
+        )
+        SELECT doc_id, held_out, coalesce(best.lang, 'und') AS lang_pred, coalesce(score, 0) AS score
+        FROM numbered LEFT JOIN best USING (row)
+    """,
     "op8_warc": """
         WITH payloads AS (
             SELECT page_id, coalesce(html, '') AS html FROM pages
