@@ -13,15 +13,17 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courierlens.llm.common import fresh
+from courierlens.llm.common import fresh, written
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
@@ -58,39 +60,45 @@ def shingles(tokens: list[str], width: int) -> set[tuple[str, ...]]:
 
 
 class Items:
-    """Test items and their sketches."""
+    """Test items and their sketches; shingles are made again for the items that are verified."""
 
-    def __init__(self, rows: list[tuple[int | None, str | None]], width: int, threshold: Fraction):
-        same: dict[tuple[str, ...], list[int]] = defaultdict(list)
+    def __init__(self, rows: Iterable[tuple[int | None, str | None]], width: int, threshold: Fraction):
+        same: dict[str, list[int | None]] = defaultdict(list)
         for item, text in rows:
             if tokens := words(text):
-                same[tuple(tokens)].append(item)
-        self.width = width
+                same[" ".join(tokens)].append(item)
+        self.width, self.threshold = width, threshold
+        self.texts = list(same)
         self.ids = [sorted(x, key=lambda i: (i is None, i or 0)) for x in same.values()]
-        self.sets = [shingles(list(tokens), width) for tokens in same]
-        self.need = np.array([-(-len(s) * threshold.numerator // threshold.denominator) for s in self.sets], np.int64)
         hashes, owners, least = [], [], []
-        for i, tokens in enumerate(same):
-            size = len(self.sets[i])
-            largest = (1 << size.bit_length()) - 1
-            lacking = largest - -(-largest * threshold.numerator // threshold.denominator)
-            sketch = np.unique(shingle_hashes(list(tokens), width))[: lacking + 1]
-            hashes.append(sketch)
-            owners.append(np.full(len(sketch), i))
-            smallest = (largest + 1) // 2
-            least.append(-(-smallest * threshold.numerator // threshold.denominator))
-        self.least = np.array(least, np.int64)
-        every = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-        order = np.argsort(every, kind="stable")
-        self.hashes, self.owners = every[order], (np.concatenate(owners) if owners else np.empty(0, int))[order]
         # items shorter than a shingle are compared with runs of their own length
         self.short = defaultdict(list)
-        for i, tokens in enumerate(same):
+        for i, text in enumerate(self.texts):
+            tokens = text.split(" ")
+            own = np.unique(shingle_hashes(tokens, width))
+            smallest = 1 << (len(own).bit_length() - 1)
+            largest = 2 * smallest - 1
+            sketch = own[: largest - self.needed(largest) + 1]
+            hashes.append(sketch)
+            owners.append(np.full(len(sketch), i, np.int32))
+            least.append(self.needed(smallest))
             if len(tokens) < width:
                 self.short[len(tokens)].append(i)
+        self.least = np.array(least, np.int64)
+        every = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        order = np.argsort(every, kind="stable")
+        self.hashes = every[order]
+        self.owners = (np.concatenate(owners) if owners else np.empty(0, np.int32))[order]
+
+    def needed(self, size: int) -> int:
+        """Of so many shingles, those that must be there."""
+        return -(-size * self.threshold.numerator // self.threshold.denominator)
+
+    def shingles(self, item: int) -> set[tuple[str, ...]]:
+        return shingles(self.texts[item].split(" "), self.width)
 
-    def find(self, text: str | None) -> list[tuple[int, int]]:
-        """``(item, shared shingles)`` of the items that the text contains."""
+    def find(self, text: str | None) -> list[tuple[int, int, int]]:
+        """``(item, its shingles, those shared)`` of the items that the text contains."""
         tokens = words(text)
         if not tokens or not len(self.hashes):
             return []
@@ -105,13 +113,14 @@ class Items:
         if tries:
             have = shingles(tokens, self.width)
             for i in sorted(tries):
-                shared = len(self.sets[i] & have)
-                if shared >= self.need[i]:
-                    out.append((i, shared))
+                wanted = self.shingles(i)
+                shared = len(wanted & have)
+                if shared >= self.needed(len(wanted)):
+                    out.append((i, len(wanted), shared))
         for size, items in self.short.items():
             if len(tokens) > size:
                 have = shingles(tokens, size)
-                out.extend((i, 1) for i in items if self.sets[i] <= have)
+                out.extend((i, 1, 1) for i in items if self.shingles(i) <= have)
         return out
 
 
@@ -121,8 +130,8 @@ def finder(items: Items):
         return pd.Series(
             [
                 [
-                    {"item_id": items.ids[i][0], "item_ids": items.ids[i], "shingles": len(items.sets[i]), "shared": n}
-                    for i, n in items.find(text)
+                    {"item_id": items.ids[i][0], "item_ids": items.ids[i], "shingles": n, "shared": shared}
+                    for i, n, shared in items.find(text)
                 ]
                 for text in texts
             ]
@@ -131,32 +140,26 @@ def finder(items: Items):
     return contained
 
 
-def contamination(
+def turns(
     benchmark: DataFrame,
-    text: Column,
     item_col: str = "item_id",
     item_text_col: str = "text",
     width: int = SHINGLE,
     threshold: Fraction = THRESHOLD,
     item_bytes: int = ITEM_BYTES,
-) -> Column:
-    """An array of the test items that a text contains, empty if none.
-
-    Words are runs of letters and digits in lower case; a shingle is ``width`` of them. Items of
-    equal words are one find with all their ids. An item of fewer words is found as a
-    whole; items without words, and null ones, are in no document. Null and empty
-    texts contain nothing. The items are sent to the tasks in turns of about
-    ``item_bytes`` bytes each, so any number of them is searched.
+) -> Iterator[Items]:
+    """The test items in turns of about ``item_bytes`` bytes, so that a task holds one turn.
+
+    Words are runs of letters and digits in lower case; a shingle is ``width`` of them.
+    Items of equal words are one find with all their ids. An item of fewer words is
+    found as a whole; items without words, and null ones, are in no document.
     """
     rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    turns = max(1, -(-total // item_bytes))
-    turn = F.pmod(F.xxhash64("text"), F.lit(turns))
-    found = [
-        finder(Items([tuple(r) for r in rows.where(turn == t).collect()], width, threshold))(text)
-        for t in range(turns)
-    ]
-    return F.concat(*found) if turns > 1 else found[0]
+    n = max(1, -(-total // item_bytes))
+    turn = F.pmod(F.xxhash64("text"), F.lit(n))
+    for t in range(n):
+        yield Items(map(tuple, rows.where(turn == t).collect()), width, threshold)
 
 
 def contaminated(
@@ -165,16 +168,23 @@ def contaminated(
     """``doc_id, item_id, item_ids, shingles, shared, containment``: a row for each find.
 
     A row of docs gives one for each item it contains; repeated rows give theirs each.
-    item_id is the least of the equal items' ids. Other columns are not read.
+    item_id is the least of the equal items' ids. Null and empty texts contain
+    nothing; other columns are not read. More items than one turn take a scan each turn.
     """
-    found = docs.select(
-        F.col(id_col).alias("doc_id"), F.explode(contamination(benchmark, F.col(text_col), **options)).alias("f")
-    )
-    return found.select("doc_id", "f.*", (F.col("f.shared") / F.col("f.shingles")).alias("containment"))
+    parts = []
+    for items in turns(benchmark, **options):
+        found = docs.select(F.col(id_col).alias("doc_id"), F.explode(finder(items)(F.col(text_col))).alias("f"))
+        parts.append(found.select("doc_id", "f.*", (F.col("f.shared") / F.col("f.shingles")).alias("containment")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """Docs without those that contain a test item; the columns stay."""
+    """Docs without those that contain a test item; the columns stay.
+
+    Null and empty texts stay. More items than one turn take a written table each turn.
+    """
     found = fresh(docs.columns, "found")
-    marked = docs.withColumn(found, F.size(contamination(benchmark, F.col(text_col), **options)))
-    return marked.where(F.col(found) == 0).drop(found)
+    for number, items in enumerate(turns(benchmark, **options)):
+        docs = docs if number == 0 else written(docs, "clean")
+        docs = docs.withColumn(found, F.size(finder(items)(F.col(text_col)))).where(F.col(found) == 0).drop(found)
+    return docs

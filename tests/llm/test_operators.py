@@ -585,6 +585,8 @@ def test_contamination_on_awkward_rows(spark):
     assert decontaminate.contaminated(empty(spark), bench).collect() == []
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.clean(docs(spark), none).count() == len(ROWS)
+    in_turns = decontaminate.clean(clashing(spark), bench, item_bytes=40)
+    assert sorted(r["doc_id"] for r in in_turns.collect()) == [3, 4, 5, 6, 8]
 
 
 def test_threshold_is_exact():
