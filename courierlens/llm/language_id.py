@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 #: n-grams of a profile and of a document that are ranked.
 RANKS = 300
 #: Characters whose n-grams are sorted at once; a longer text is sorted alone.
-BLOCK = 1_000_000
+BLOCK = 400_000
 #: Different n-grams that a task holds before it hands them on.
 HOLD = 1_000_000
 #: Profiles are sent to all tasks; more languages than this are an error in the labels.
