@@ -6,28 +6,37 @@ data-parallel: in each round every task trains a copy of the network on all of i
 documents, and the copies are averaged, weighted by words, in an aggregate.
 
 The hidden word is predicted in two steps, its class and the word in the class, so
-a word costs the square root of the vocabulary. The commonest words of the corpus
-have numbers of their own; the others share numbers by hash, so every word is predicted.
+a word costs the square root of the network's numbers. These grow with the corpus, as the
+square root of its distinct words. The commonest words have numbers of their own. The
+others share numbers by hash; of its number's probability such a word has the share that
+it has of the number's occurrences, by the counts of all words. So every word has a
+probability of its own, and those of all words of the corpus add up to one.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from courierlens.llm.common import written
+
 #: Words on either side that are seen.
 SIDE = 2
-#: Numbers of the network's words: CLASSES times CLASSES, of which HASHED are shared by hash.
+#: Classes at least; more where the distinct words' fourth root is more. The network has CLASSES
+#: times CLASSES numbers, of which one in SHARED is shared by hash.
 CLASSES = 32
-HASHED = 256
+SHARED = 4
+#: Commonest words whose counts the tasks hold; the counts of others are joined.
+HELD = 50_000
 #: Width of the hidden layer.
 WIDTH = 16
 ROUNDS = 2
@@ -38,6 +47,8 @@ BATCH = 8192
 HOLD = 300_000
 #: Parameters are averaged as whole numbers of this unit, so their order doesn't matter.
 UNIT = 1 << 24
+#: Logarithms of shares are added as whole numbers of this part of one.
+LOG_UNIT = 10**9
 
 
 def words(text: str | None) -> list[bytes]:
@@ -46,18 +57,38 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Vocabulary:
-    """Numbers of words: the commonest by rank, others by hash."""
+    """Numbers of words: the commonest by rank, others by hash.
+
+    ``common`` are the commonest words in order, more than have numbers of their own;
+    ``shares`` the logarithms, in units, of what those beyond have of their numbers.
+    """
 
-    def __init__(self, common: list[bytes], classes: int = CLASSES, hashed: int = HASHED):
+    def __init__(self, common: list[bytes], classes: int = CLASSES, shares: Iterable[int] = ()):
+        self.classes, self.size = classes, classes * classes
+        self.hashed = self.size // SHARED
+        self.own = self.size - self.hashed
         self.rank = {w: i for i, w in enumerate(common)}
-        self.own, self.hashed, self.size = classes * classes - hashed, hashed, classes * classes
+        self.number = np.arange(len(common))
+        self.number[self.own :] = self.by_hash(common[self.own :])
+        self.share = np.zeros(len(common), np.int64)
+        self.share[self.own :] = list(shares)
+        self.kind = np.dtype(np.uint16 if self.size < 1 << 16 else np.uint32)
 
-    def ids(self, tokens: list[bytes]) -> np.ndarray:
+    def by_hash(self, tokens: list[bytes]) -> np.ndarray:
+        return self.own + np.fromiter(map(zlib.crc32, tokens), np.int64, len(tokens)) % self.hashed
+
+    def look(self, tokens: list[bytes]) -> tuple[np.ndarray, int, list[bytes]]:
+        """The tokens' numbers, the sum of the shares that are held, and the tokens whose shares are not."""
         found = np.fromiter(map(self.rank.get, tokens, repeat(-1)), np.int64, len(tokens))
         others = np.flatnonzero(found < 0)
-        hashes = map(zlib.crc32, map(tokens.__getitem__, others.tolist()))
-        found[others] = self.own + np.fromiter(hashes, np.int64, len(others)) % self.hashed
-        return found
+        held = found[found >= 0]
+        rest = list(map(tokens.__getitem__, others.tolist()))
+        found[found >= 0] = self.number[held]
+        found[others] = self.by_hash(rest)
+        return found, int(self.share[held].sum()), rest
+
+    def ids(self, tokens: list[bytes]) -> np.ndarray:
+        return self.look(tokens)[0]
 
 
 class Network:
@@ -169,12 +200,11 @@ class Network:
         return out
 
 
-def _streams(texts: Iterator[str | None], vocabulary: Vocabulary, side: int) -> Iterator[tuple]:
-    """``(ids, places, text number of each place)`` of several texts at once, with edges between them."""
-    edge = np.full(side, vocabulary.size, np.int64)
+def _streams(texts: Iterable[np.ndarray], size: int, side: int) -> Iterator[tuple]:
+    """``(ids, places, text number of each place)`` of several texts' numbers at once, with edges between them."""
+    edge = np.full(side, size, np.int64)
     parts, places, owners, size = [edge], [], [], side
-    for number, text in enumerate(texts):
-        ids = vocabulary.ids(words(text))
+    for number, ids in enumerate(texts):
         parts += [ids, edge]
         places.append(size + np.arange(len(ids)))
         owners.append(np.full(len(ids), number))
@@ -204,25 +234,102 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
-    """The commonest words of all rows; equal counts by the word."""
+def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word, n``: all words of all rows, written to the shared folder."""
     counts = docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL").mapInArrow(
         _counting, "word binary, n long"
     )
-    common = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
-    rows = common.limit(CLASSES * CLASSES - HASHED).collect()
-    return Vocabulary([bytes(r["word"]) for r in rows])
+    return written(counts.groupBy("word").agg(F.sum("n").alias("n")), "masked-counts")
+
+
+def _after(last: Row) -> Column:
+    """Whether a word comes after the last one by falling count, equal counts by the word."""
+    word = F.lit(bytearray(last["word"]))
+    return (F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > word))
+
 
+def _shares(counts: DataFrame, own: list[Row], hashed: int) -> DataFrame:
+    """``word, n, share`` of the words without numbers of their own; share is a logarithm in units."""
+    others = counts.where(_after(own[-1]) if own else F.lit(True))
+    others = others.withColumn("number", F.pmod(F.crc32("word"), F.lit(hashed)))
+    totals = others.groupBy("number").agg(F.sum("n").alias("total"))
+    share = F.round(F.log(F.col("n") / F.col("total")) * LOG_UNIT).cast("long")
+    return others.join(F.broadcast(totals), "number").select("word", "n", share.alias("share"))
+
+
+def known_words(counts: DataFrame) -> tuple[Vocabulary, DataFrame | None]:
+    """The vocabulary of counted words, and ``word, share`` of those that it doesn't hold; None if it holds all."""
+    distinct = counts.count()
+    classes = max(CLASSES, math.ceil(distinct**0.25))
+    hashed = classes * classes // SHARED
+    n_own = classes * classes - hashed
+    order = [F.desc("n"), F.col("word")]
+    own = counts.orderBy(*order).limit(n_own).collect()
+    if distinct <= n_own:
+        return Vocabulary([bytes(r["word"]) for r in own], classes), None
+    shares = _shares(counts, own, hashed)
+    held = shares.orderBy(*order).limit(max(1, HELD - n_own)).collect()
+    known = Vocabulary([bytes(r["word"]) for r in own + held], classes, [r["share"] for r in held])
+    rest = shares.where(_after(held[-1])).select("word", "share") if distinct > n_own + len(held) else None
+    return known, rest
+
+
+def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
+    """The commonest words of all rows; equal counts by the word."""
+    return known_words(counted(docs, text_col))[0]
+
+
+def _numbering(known: Vocabulary):
+    """Texts to their words' numbers, held shares, and the words whose shares are not held."""
+
+    def rows(ids: pa.Array, texts: list[tuple[np.ndarray, int, Counter]]) -> pa.RecordBatch:
+        ends = np.cumsum([0] + [len(rest) for _, _, rest in texts]).astype(np.int32)
+        word = pa.array([w for _, _, rest in texts for w in rest], pa.binary())
+        n = pa.array([n for _, _, rest in texts for n in rest.values()], pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [
+                ids,
+                pa.array([numbers.tobytes() for numbers, _, _ in texts], pa.binary()),
+                pa.array([share for _, share, _ in texts], pa.int64()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([word, n], ["word", "n"])),
+            ],
+            ["doc_id", "ids", "share", "rest"],
+        )
 
-def _training(start: np.ndarray, known: Vocabulary, rate: float):
-    """Texts to (place, total): the task's trained parameters in units, times its words."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, size, start = [], 0, 0
+            for at, text in enumerate(batch.column("text").to_pylist()):
+                ids, share, rest = known.look(words(text))
+                held.append((ids.astype(known.kind), share, Counter(rest)))
+                size += len(ids)
+                if size > HOLD:
+                    yield rows(batch.column("doc_id").slice(start, len(held)), held)
+                    held, size, start = [], 0, at + 1
+            if held:
+                yield rows(batch.column("doc_id").slice(start, len(held)), held)
+
+    return number
+
+
+def numbered(docs: DataFrame, known: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``row, doc_id, ids, share, rest`` for each row of docs, written to the shared folder."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids binary, share long, rest array<struct<word: binary, n: long>>"
+    found = rows.mapInArrow(_numbering(known), schema)
+    return written(found.withColumn("row", F.monotonically_increasing_id()), "masked-rows")
+
+
+def _training(start: np.ndarray, classes: int, kind: np.dtype, rate: float):
+    """Numbers to (place, total): the task's trained parameters in units, times its words."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(flat=start.copy())
+        net = Network(classes, flat=start.copy())
         squares = np.full(len(start), 1e-6, np.float32)
         seen = 0
-        texts = (t for batch in batches for t in batch.column("text").to_pylist())
-        for ids, at, _ in _streams(texts, known, net.side):
+        texts = (np.frombuffer(x.as_buffer(), kind) for batch in batches for x in batch.column("ids"))
+        for ids, at, _ in _streams(texts, classes * classes, net.side):
             for i in range(0, len(at), BATCH):
                 net.step(ids, at[i : i + BATCH], squares, rate)
             seen += len(at)
@@ -234,54 +341,84 @@ def _training(start: np.ndarray, known: Vocabulary, rate: float):
     return train
 
 
-def train(
-    docs: DataFrame, known: Vocabulary, text_col: str = "text", rounds: int = ROUNDS, rate: float = RATE
-) -> Network:
-    """The network after so many rounds over all rows; its size does not depend on theirs."""
-    net = Network()
-    texts = docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL")
+def fitted(rows: DataFrame, known: Vocabulary, rounds: int = ROUNDS, rate: float = RATE) -> Network:
+    """The network after so many rounds over all numbered rows."""
+    net = Network(known.classes)
+    ids = rows.select("ids").where(F.octet_length("ids") > 0)
     for _ in range(rounds):
-        copies = texts.mapInArrow(_training(net.flat, known, rate), "place int, total long")
+        copies = ids.mapInArrow(_training(net.flat, known.classes, known.kind, rate), "place int, total long")
         sums = copies.groupBy("place").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"))
-        rows = sums.toPandas()
-        if rows.empty:
+        found = sums.toPandas()
+        if found.empty:
             break
-        total = dict(zip(rows["place"].tolist(), map(int, rows["total"]), strict=True))
+        total = dict(zip(found["place"].tolist(), map(int, found["total"]), strict=True))
         seen = total.pop(-1)
         flat = np.empty_like(net.flat)
         for place, value in total.items():
             flat[place] = value / (UNIT * seen)
-        net = Network(flat=flat)
+        net = Network(known.classes, flat=flat)
     return net
 
 
+def train(
+    docs: DataFrame, known: Vocabulary, text_col: str = "text", rounds: int = ROUNDS, rate: float = RATE
+) -> Network:
+    """The network after so many rounds over all rows; its size is the vocabulary's."""
+    return fitted(numbered(docs, known, text_col, text_col), known, rounds, rate)
+
+
+def _sums(net: Network, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of words of each text and the sum of their numbers' log-probabilities."""
+    count, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    for ids, at, owner in _streams(texts, net.classes**2, net.side):
+        for i in range(0, len(at), BATCH):
+            part = owner[i : i + BATCH]
+            logs = net.step(ids, at[i : i + BATCH]).astype(np.float64)
+            total += np.bincount(part, logs, minlength=len(texts))
+            count += np.bincount(part, minlength=len(texts))
+    return count, total
+
+
 def scorer(flat: np.ndarray, known: Vocabulary):
+    """Scores of texts by the network alone: a shared number's probability is not yet parted among its words."""
+
     @F.pandas_udf("n_tokens long, log_prob double")
     def pseudo_likelihood(texts: pd.Series) -> pd.DataFrame:
-        net = Network(flat=flat)
-        count, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-        for ids, at, owner in _streams(iter(texts), known, net.side):
-            for i in range(0, len(at), BATCH):
-                part = owner[i : i + BATCH]
-                logs = net.step(ids, at[i : i + BATCH]).astype(np.float64)
-                total += np.bincount(part, logs, minlength=len(texts))
-                count += np.bincount(part, minlength=len(texts))
+        count, total = _sums(Network(known.classes, flat=flat), [known.ids(words(t)) for t in texts])
         return pd.DataFrame({"n_tokens": count, "log_prob": np.round(total, 4)})
 
     return pseudo_likelihood
 
 
+def _row_scorer(flat: np.ndarray, classes: int, kind: np.dtype):
+    @F.pandas_udf("n_tokens long, log_prob double")
+    def pseudo_likelihood(ids: pd.Series) -> pd.DataFrame:
+        count, total = _sums(Network(classes, flat=flat), [np.frombuffer(x, kind) for x in ids])
+        return pd.DataFrame({"n_tokens": count, "log_prob": total})
+
+    return pseudo_likelihood
+
+
 def score(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, rate: float = RATE
 ) -> DataFrame:
     """``doc_id, n_tokens, log_prob, mean_log_prob`` for each row of docs, by a network trained on all of them.
 
-    log_prob is the sum over all words of the text. Null and empty texts have no words,
+    log_prob is the sum over all words of the text, each word's probability being its
+    number's times its share of that number. Null and empty texts have no words,
     log_prob 0 and no mean. Repeated rows count in training and are scored alike, an
     empty table gives no rows, other columns are not read.
     """
-    known = vocabulary(docs, text_col)
-    net = train(docs, known, text_col, rounds, rate)
-    found = docs.select(F.col(id_col).alias("doc_id"), scorer(net.flat, known)(F.col(text_col)).alias("s"))
-    mean = F.when(F.col("s.n_tokens") > 0, F.col("s.log_prob") / F.col("s.n_tokens"))
-    return found.select("doc_id", "s.n_tokens", "s.log_prob", mean.alias("mean_log_prob"))
+    known, shares = known_words(counted(docs, text_col))
+    rows = numbered(docs, known, id_col, text_col)
+    net = fitted(rows, known, rounds, rate)
+    by_net = _row_scorer(net.flat, known.classes, known.kind)(F.col("ids"))
+    found = rows.select("row", "doc_id", "share", by_net.alias("s"))
+    if shares is not None:
+        rest = rows.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.n").join(shares, "word")
+        sums = rest.groupBy("row").agg(F.sum(F.col("n") * F.col("share")).alias("more"))
+        found = found.join(sums, "row", "left").withColumn("share", F.col("share") + F.coalesce("more", F.lit(0)))
+    total = F.round(F.col("s.log_prob") + F.col("share") / LOG_UNIT, 4)
+    found = found.select("doc_id", "s.n_tokens", total.alias("log_prob"))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
+    return found.withColumn("mean_log_prob", mean)

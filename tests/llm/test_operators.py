@@ -194,6 +194,32 @@ def test_scores_on_awkward_rows(spark):
     assert tuples(masked_lm.score(docs(spark))) == tuples(masked_lm.score(docs(spark)))
 
 
+@pytest.mark.parametrize("held", [50_000, 900])
+def test_words_of_a_shared_number_have_their_own_probabilities(spark, monkeypatch, held):
+    monkeypatch.setattr(masked_lm, "HELD", held)
+    names = [f"w{i}" for i in range(2000)]
+    rows = [(i, w) for i, w in enumerate(names) for _ in range(2 if i % 2 else 1)]
+    found = {r["doc_id"]: r["log_prob"] for r in masked_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    known = masked_lm.vocabulary(spark.createDataFrame(rows, "doc_id long, text string"))
+    shared = defaultdict(list)
+    for i, w in enumerate(names):
+        if (number := known.ids([w.encode()])[0]) >= known.own:
+            shared[number].append(i)
+    pairs = [(i, j) for same in shared.values() for i in same for j in same if i % 2 and not j % 2]
+    assert len(pairs) > 100
+    assert all(found[i] - found[j] == pytest.approx(np.log(2), abs=2e-4) for i, j in pairs)
+    assert 0.97 < np.exp(list(found.values())).sum() < 1.001
+
+
+def test_the_network_grows_with_the_distinct_words(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "CLASSES", 2)
+    sizes = []
+    for n in (10, 100, 2000):
+        rows = [(i, f"w{i}") for i in range(n)]
+        sizes.append(masked_lm.vocabulary(spark.createDataFrame(rows, "doc_id long, text string")).size)
+    assert sizes == [4, 16, 49]
+
+
 # --- 3 exact dedup
 
 
