@@ -23,13 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courierlens.llm.common import fresh, written
+from courierlens.llm.common import attach, fresh, written
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
-#: Bytes of test items that are sent to all tasks at once; more items are searched in turns.
+#: Bytes of different test items that are sent to all tasks at once; more items are searched in turns.
 ITEM_BYTES = 16_000_000
-FOUND = "array<struct<item_id: long, item_ids: array<long>, shingles: long, shared: long>>"
+FOUND = "array<struct<item: long, shingles: long, shared: long>>"
 
 _WORD = re.compile(r"[^\W_]+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -128,63 +128,90 @@ def finder(items: Items):
     @F.pandas_udf(FOUND)
     def contained(texts: pd.Series) -> pd.Series:
         return pd.Series(
-            [
-                [
-                    {"item_id": items.ids[i][0], "item_ids": items.ids[i], "shingles": n, "shared": shared}
-                    for i, n, shared in items.find(text)
-                ]
-                for text in texts
-            ]
+            [[{"item": items.ids[i][0], "shingles": n, "shared": shared} for i, n, shared in items.find(t)] for t in texts]
         )
 
     return contained
 
 
+def plain():
+    """The words of each text with blanks between; null if there are none."""
+
+    @F.pandas_udf("string")
+    def joined(texts: pd.Series) -> pd.Series:
+        return pd.Series([" ".join(words(t)) or None for t in texts], dtype=object)
+
+    return joined
+
+
+def distinct_items(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``item, text, item_ids``: a number for each of the items of equal words, and all their ids, nulls last.
+
+    Words are runs of letters and digits in lower case. Items without words, and null
+    ones, are left out. The rows are written to the shared folder.
+    """
+    item = F.col(item_col).cast("long").alias("item_id")
+    rows = benchmark.select(item, plain()(F.col(item_text_col)).alias("text"))
+    each = F.struct(F.isnull("item_id").alias("unnamed"), "item_id")
+    same = rows.groupBy("text").agg(F.array_sort(F.collect_list(each)).alias("each")).where("text IS NOT NULL")
+    same = same.select(F.monotonically_increasing_id().alias("item"), "text", F.col("each.item_id").alias("item_ids"))
+    return written(same, "items")
+
+
 def turns(
-    benchmark: DataFrame,
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    width: int = SHINGLE,
-    threshold: Fraction = THRESHOLD,
-    item_bytes: int = ITEM_BYTES,
+    items: DataFrame, width: int = SHINGLE, threshold: Fraction = THRESHOLD, item_bytes: int = ITEM_BYTES
 ) -> Iterator[Items]:
-    """The test items in turns of about ``item_bytes`` bytes, so that a task holds one turn.
+    """The distinct items in turns of about ``item_bytes`` bytes, so that a task holds one turn.
 
-    Words are runs of letters and digits in lower case; a shingle is ``width`` of them.
-    Items of equal words are one find with all their ids. An item of fewer words is
-    found as a whole; items without words, and null ones, are in no document.
+    A shingle is ``width`` words. An item of fewer words is found as a whole. A turn is
+    read when it is asked for.
     """
-    rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-total // item_bytes))
     turn = F.pmod(F.xxhash64("text"), F.lit(n))
     for t in range(n):
-        yield Items(map(tuple, rows.where(turn == t).collect()), width, threshold)
+        yield Items(map(tuple, items.where(turn == t).select("item", "text").collect()), width, threshold)
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    **options,
 ) -> DataFrame:
     """``doc_id, item_id, item_ids, shingles, shared, containment``: a row for each find.
 
     A row of docs gives one for each item it contains; repeated rows give theirs each.
-    item_id is the least of the equal items' ids. Null and empty texts contain
-    nothing; other columns are not read. More items than one turn take a scan each turn.
+    Items of equal words are one find with all their ids, item_id is the least. Null and
+    empty texts contain nothing; other columns are not read. More items than one turn
+    take a scan each turn, whose finds are written before the next turn is read.
     """
-    parts = []
-    for items in turns(benchmark, **options):
-        found = docs.select(F.col(id_col).alias("doc_id"), F.explode(finder(items)(F.col(text_col))).alias("f"))
-        parts.append(found.select("doc_id", "f.*", (F.col("f.shared") / F.col("f.shingles")).alias("containment")))
-    return reduce(DataFrame.unionByName, parts)
+    items, parts = distinct_items(benchmark, item_col, item_text_col), []
+    for turn in turns(items, **options):
+        found = docs.select(F.col(id_col).alias("doc_id"), F.explode(finder(turn)(F.col(text_col))).alias("f"))
+        parts.append(written(found.select("doc_id", "f.*"), "finds"))
+    named = attach(reduce(DataFrame.unionByName, parts), items.select("item", "item_ids"), "item", "doc_id")
+    share = (F.col("shared") / F.col("shingles")).alias("containment")
+    return named.select("doc_id", F.col("item_ids")[0].alias("item_id"), "item_ids", "shingles", "shared", share)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    **options,
+) -> DataFrame:
     """Docs without those that contain a test item; the columns stay.
 
     Null and empty texts stay. More items than one turn take a written table each turn.
     """
     found = fresh(docs.columns, "found")
-    for number, items in enumerate(turns(benchmark, **options)):
+    for number, items in enumerate(turns(distinct_items(benchmark, item_col, item_text_col), **options)):
         docs = docs if number == 0 else written(docs, "clean")
         docs = docs.withColumn(found, F.size(finder(items)(F.col(text_col)))).where(F.col(found) == 0).drop(found)
     return docs

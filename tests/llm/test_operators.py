@@ -615,6 +615,18 @@ def test_contamination_on_awkward_rows(spark):
     assert sorted(r["doc_id"] for r in in_turns.collect()) == [3, 4, 5, 6, 8]
 
 
+def test_items_of_equal_words_are_one_find_in_any_number_of_turns(spark):
+    texts = ["looked at the moon for a long time", "LOOKED at the Moon, for a long time!"]
+    texts += [t.replace(" ", mark) for t in texts for mark in ("  ", "_", ", ", "; ")]
+    items = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (50, "sat on the mat and looked"), (51, "two")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = [tuples(decontaminate.contaminated(docs(spark), bench, item_bytes=n)) for n in (1, 40, 10**6)]
+    assert found[0] == found[1] == found[2]
+    ids = (*range(len(texts)), None)
+    assert Counter((r[0], r[1], tuple(r[2])) for r in found[0]) == {
+        (1, 0, ids): 1, (2, 0, ids): 2, (1, 50, (50,)): 1, (2, 50, (50,)): 2, (9, 51, (51,)): 1}
+
+
 def test_threshold_is_exact():
     items = decontaminate.Items([(1, "a b c d e f g h i j k l m n")], 5, Fraction(4, 5))
     assert items.find("x a b c d e f g h i j k l y")  # 8 of 10 shingles
