@@ -27,10 +27,34 @@ _LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 _PHONE = frozenset(string.digits + " ().-")
 _ID = frozenset(string.ascii_letters + string.digits)
 _USER = frozenset(string.ascii_letters + string.digits + "-._~!$&'()*+,;=:%")
-#: Words that announce an account or identity number; as they are, in capitals or with one.
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+#: Words that announce an account or identity number, in any case of letters.
 CUES = ("iban", "account", "acct", "ssn", "passport", "social security")
 #: Words and signs that may stand between a cue and the number.
 _FILL = ("number", "no", "nr", "num", "id")
+#: Cues whose number has nine digits.
+_NINE = ("ssn", "social security")
+#: Characters of an international account number by country.
+IBAN_SIZES = {
+    **dict.fromkeys(("NO",), 15),
+    **dict.fromkeys(("BE",), 16),
+    **dict.fromkeys(("DK", "FI", "FK", "FO", "GL", "NL", "SD"), 18),
+    **dict.fromkeys(("MK", "SI"), 19),
+    **dict.fromkeys(("AT", "BA", "EE", "KZ", "LT", "LU", "MN", "XK"), 20),
+    **dict.fromkeys(("CH", "HR", "LI", "LV"), 21),
+    **dict.fromkeys(("BG", "BH", "CR", "DE", "GB", "GE", "IE", "ME", "RS", "VA"), 22),
+    **dict.fromkeys(("AE", "GI", "IL", "IQ", "OM", "SO", "TL"), 23),
+    **dict.fromkeys(("AD", "CZ", "ES", "MD", "PK", "RO", "SA", "SE", "SK", "TN", "VG"), 24),
+    **dict.fromkeys(("LY", "PT", "ST"), 25),
+    **dict.fromkeys(("IS", "TR"), 26),
+    **dict.fromkeys(("BI", "DJ", "FR", "GR", "IT", "MC", "MR", "SM"), 27),
+    **dict.fromkeys(("AL", "AZ", "BY", "CY", "DO", "GT", "HN", "HU", "LB", "NI", "PL", "SV"), 28),
+    **dict.fromkeys(("BR", "EG", "PS", "QA", "UA"), 29),
+    **dict.fromkeys(("JO", "KW", "MU", "YE"), 30),
+    **dict.fromkeys(("MT", "SC"), 31),
+    **dict.fromkeys(("LC",), 32),
+    **dict.fromkeys(("RU",), 33),
+}
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -44,8 +68,7 @@ def automaton() -> ahocorasick.Automaton:
             for mark in ("", " ", "-"):
                 found.add_word(a + mark + b, ("card", 2 + len(mark)))
     for cue in CUES:
-        for word in {cue, cue.upper(), cue.capitalize()}:
-            found.add_word(word, ("account", len(word)))
+        found.add_word(cue, ("account", len(cue)))
     found.make_automaton()
     return found
 
@@ -134,6 +157,40 @@ def mod97(number: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def iban(text: str, start: int) -> tuple[int, int, bool] | None:
+    """The international account number at a place, with at most one blank or hyphen between its words.
+
+    It ends where a word does and the check holds: at the length of its country, else as
+    late as possible. Words without digits belong to it up to that length.
+    """
+    size, ends = IBAN_SIZES.get(text[start : start + 2].upper(), 0), {}
+    end, found = start, ""
+    while (word := _run(text, end, _ID)) > end:
+        if len(found) >= size and not any(c in _DIGITS for c in text[end:word]):
+            break
+        found += text[end:word]
+        end = word
+        if not found[:2].isalpha() or len(found) > 34:
+            break
+        if sum(c in _DIGITS for c in found) >= 5 and mod97(found):
+            ends[len(found)] = end
+        if text[end : end + 1] not in (" ", "-"):
+            break
+        end += 1
+    return (start, ends[size] if size in ends else ends[max(ends)], True) if ends else None
+
+
+def _goes_on(groups: list[str], hyphen: bool, group: str) -> bool:
+    """Whether a group after a blank belongs to the number that the groups before it make.
+
+    It does while they have fewer than five digits, if it has five itself, or if all are
+    groups of four characters at most, with blanks only.
+    """
+    if sum(c in _DIGITS for g in groups for c in g) < 5 or sum(c in _DIGITS for c in group) >= 5:
+        return True
+    return not hyphen and all(len(g) <= 4 for g in (*groups, group))
+
+
 def account(text: str, at: int, free: int, cue: str) -> tuple[int, int, bool] | None:
     """The identifier after a cue, which is a whole word; a few words and signs may stand between."""
     end = at + len(cue)
@@ -146,21 +203,31 @@ def account(text: str, at: int, free: int, cue: str) -> tuple[int, int, bool] |
         if text[end:word].lower() not in _FILL:
             break
         end = word
-    start, found = end, ""
+    named = cue.lower()
+    if named == "iban":
+        return iban(text, end)
+    start, groups, hyphen = end, [], False
     while True:
         word = _run(text, end, _ID)
-        if word == end or not any(c in _DIGITS for c in text[end:word]):
+        group = text[end:word]
+        if not any(c in _DIGITS for c in group):
             break
-        found += text[end:word]
+        if groups and text[end - 1] == " " and not _goes_on(groups, hyphen, group):
+            break
+        hyphen |= bool(groups) and text[end - 1] == "-"
+        groups.append(group)
         end = word
+        if named in _NINE and sum(c in _DIGITS for g in groups for c in g) == 9:
+            break
         if text[end : end + 1] not in (" ", "-"):
             break
         end += 1
     while end > start and text[end - 1] in " -":
         end -= 1
+    found = "".join(groups)
     if not 5 <= len(found) <= 34 or sum(c in _DIGITS for c in found) < 5:
         return None
-    return start, end, cue.lower() != "iban" or found[:2].isalpha() and mod97(found)
+    return start, end, True
 
 
 _PARSERS = {"email": email, "ip": ip, "card": card, "phone": phone, "login": login}
@@ -173,7 +240,11 @@ def spans(text: str | None, anchors: ahocorasick.Automaton) -> list[tuple[str, i
     as a whole. Null and empty texts have none.
     """
     free, found = dict.fromkeys(KINDS, 0), {k: [] for k in KINDS}
-    for last, (kind, size) in anchors.iter(text or ""):
+    text = text or ""
+    low = text.lower()
+    if len(low) != len(text):  # places must stay: some letters have two in lower case
+        low = text.translate(_LOWER)
+    for last, (kind, size) in anchors.iter(low):
         at = last + 1 - size
         if kind == "account":
             span = account(text, at, free[kind], text[at : last + 1])

@@ -362,6 +362,25 @@ def test_cues_without_a_number_add_nothing(text):
     assert [s for s in pii.spans(text, ANCHORS) if s[0] in pii.ADDED] == []
 
 
+@pytest.mark.parametrize(
+    "text, passage",
+    [
+        ("Social Security Number: 123-45-6789", "123-45-6789"),
+        ("İ é sOcIaL security no. 123 45 6789 12 items", "123 45 6789"),
+        ("IBAN DE89 3704 0044 0532 0130 00 2024 paid", "DE89 3704 0044 0532 0130 00"),
+        ("Iban: GB82 WEST 1234 5698 7654 32 on 5 May", "GB82 WEST 1234 5698 7654 32"),
+        ("iban gb82west12345698765432 2024", "gb82west12345698765432"),
+        ("account 12345678 12 items", "12345678"),
+        ("SSN 123-45-6789 12 items", "123-45-6789"),
+        ("account 20-00-00 55779911 today", "20-00-00 55779911"),
+        ("Account Number 1234 5678 9012 is", "1234 5678 9012"),
+    ],
+)
+def test_identifiers_end_where_they_end(text, passage):
+    (span,) = [s for s in pii.spans(text, ANCHORS) if s[0] == "account"]
+    assert text[span[1] : span[2]] == passage
+
+
 def test_pii_on_awkward_rows(spark):
     rows = [*ROWS, (20, "mail é a.b@c.de now " + "x " * 50_000 + "1.2.3.4", None, None, None)]
     found = {r["doc_id"]: r["spans"] for r in pii.find(clashing(spark, rows)).collect()}
