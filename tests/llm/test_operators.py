@@ -374,6 +374,10 @@ def test_cues_without_a_number_add_nothing(text):
         ("SSN 123-45-6789 12 items", "123-45-6789"),
         ("account 20-00-00 55779911 today", "20-00-00 55779911"),
         ("Account Number 1234 5678 9012 is", "1234 5678 9012"),
+        ("account: 1234 5678 9012 3456 2024 12 31", "1234 5678 9012 3456"),
+        ("account 12345678 23456789 34567890 45678901 56789012", "12345678 23456789 34567890 45678901"),
+        ("account 1234 5678 9012 3456 7890 1234 5678 9012 3456 x", "1234 5678 9012 3456 7890 1234 5678 9012"),
+        ("acct 123-45 2024-12-31", "123-45"),
     ],
 )
 def test_identifiers_end_where_they_end(text, passage):
@@ -381,6 +385,19 @@ def test_identifiers_end_where_they_end(text, passage):
     assert text[span[1] : span[2]] == passage
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["account " + "12345 " * 170_000, "account " + "1" * 1_000_000, "account 1 " * 100_000, "iban DE89 " * 100_000,
+     "1.2.3." * 170_000, "a@b." * 250_000, "+1 " * 330_000, "x://a:b" * 140_000, "1234 " * 200_000, "ssn no 1-" * 110_000],
+)
+def test_long_lists_take_time_in_proportion(text):
+    import time
+
+    began = time.process_time()
+    pii.spans(text, ANCHORS)
+    assert time.process_time() - began < 10
+
+
 def test_pii_on_awkward_rows(spark):
     rows = [*ROWS, (20, "mail é a.b@c.de now " + "x " * 50_000 + "1.2.3.4", None, None, None)]
     found = {r["doc_id"]: r["spans"] for r in pii.find(clashing(spark, rows)).collect()}
@@ -576,6 +593,71 @@ def test_cut_and_foreign_bytes_become_gaps():
     assert salvaged(b"") == ([], [])
 
 
+def test_pages_with_control_characters_come_back(spark):
+    urls = [f"http://a/{chr(c)}b" for c in range(128)] + ["http://é/\u2028\x85"]
+    rows = [(i, url, f"page {i}") for i, url in enumerate(urls)]
+    found = {r["page_id"]: r["url"] for r in warc.round_trip(spark.createDataFrame(rows, PAGES)).collect()}
+    assert sorted(found) == list(range(len(urls)))
+    assert found[1] == "http://a/%01b" and found[9] == "http://a/%09b" and found[65] == urls[65] and found[128] == urls[128]
+
+
+def test_a_gap_fails_the_round_trip(spark, monkeypatch):
+    monkeypatch.setattr(warc, "record", lambda *a: b"WARC/1.1\r\nno header")
+    with pytest.raises(Exception, match="an archive can't be read"):
+        warc.round_trip(spark.createDataFrame([(1, "u", "x")], PAGES)).collect()
+
+
+def test_files_are_bounded_in_bytes(spark):
+    path = scratch_path(spark, "warc-test")
+    draw = random.Random(4)
+    pages = [(i, "u", draw.randbytes(draw.choice([10, 2000, 9000])).hex()) for i in range(60)] + [(99, "u", "z" * 50_000)]
+    warc.write(spark.createDataFrame(pages, PAGES).coalesce(1), path, file_bytes=20_000)
+    files = [gzip.decompress(bytes(f["content"])) for f in spark.read.format("binaryFile").load(path).collect()]
+    assert len(files) > 10 and all(len(f) <= 20_000 or f.count(b"WARC-Record-ID") == 1 for f in files)
+    assert warc.records(warc.read(spark, path)).count() == len(pages)
+
+
+@pytest.mark.parametrize(
+    "data",
+    [b"WARC/1.1\r\n", b"WARC/1.1\r\nA: b\r\n", b"\x1f\x8b\x08", b"WARC/1.1\r\nContent-Length: 9\r\n\r\n", b"WARC/1.0\r\n" + b"A: b\r\n" * 500],
+)
+def test_salvage_takes_time_in_proportion(data):
+    import time
+
+    whole = warc.record(1, "u", b"p")
+    data = data * (2_000_000 // len(data)) + b"\r\n\r\n" + whole
+    began = time.process_time()
+    pages, gaps = salvaged(data)
+    assert pages == [1] and sum(n for _, n in gaps) >= 2_000_000 - 100 - len(data) // 100
+    assert time.process_time() - began < 10
+
+
+def made_elsewhere(kind, fields, block):
+    head = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:1-2>", "Content-Length": str(len(block)), **fields}
+    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_records_of_other_makers_are_read():
+    http = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n"
+    info = made_elsewhere("warcinfo", {"Content-Type": "application/warc-fields"}, b"software: x\r\n\r\nmore")
+    kind = {"Content-Type": "application/http; msgtype=response"}
+    page = made_elsewhere("response", {**kind, "WARC-Payload-Digest": "sha256:" + hashlib.sha256(b"body").hexdigest()}, http + b"body")
+    bare = made_elsewhere("response", {**kind, "WARC-Payload-Digest": "blake3:00"}, http + b"body")
+    folded = made_elsewhere("metadata", {"WARC-Target-URI": "http://a\r\n /b"}, b"")
+    wrong = made_elsewhere("response", {**kind, "WARC-Payload-Digest": "sha1:" + "A" * 32}, http + b"body")
+    again = made_elsewhere("revisit", {**kind, "WARC-Payload-Digest": "sha1:" + hashlib.sha1(b"body").hexdigest()}, http)
+    member = gzip.compress(info + page + wrong + bare + folded + again, mtime=0)
+    found = list(warc.salvage(member + info))
+    rows = [r for _, _, r, _ in found if r]
+    assert [r["record_type"] for r in rows] == ["warcinfo", "response", "response", "metadata", "revisit", "warcinfo"]
+    assert {r["record_id"] for r in rows} == {"<urn:uuid:1-2>"} and {r["page_id"] for r in rows} == {None}
+    assert rows[0]["payload"] == b"software: x\r\n\r\nmore" and rows[1]["payload"] == rows[2]["payload"] == b"body"
+    assert rows[1]["payload_digest"] == hashlib.sha256(b"body").hexdigest() and rows[3]["url"] == "http://a /b"
+    assert rows[4]["payload"] is None and rows[4]["payload_digest"] == hashlib.sha1(b"body").hexdigest()
+    (reason,) = [why for _, _, r, why in found if r is None]
+    assert reason == f"digest differs, {len(wrong)} bytes from {len(info + page)} of a member"
+
+
 # --- 9 decontamination
 
 
