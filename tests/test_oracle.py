@@ -51,3 +51,25 @@ def test_queries_can_be_listed_without_a_session():
         [sys.executable, "-c", code], capture_output=True, text=True, check=True
     )
     assert run.stdout.strip() == "True"
+
+
+@pytest.mark.parametrize("removed", [("corpus_pipeline.py",), ()])
+def test_the_rest_works_without_the_training_data_operators(tmp_path, removed):
+    import shutil
+    import subprocess
+    import sys
+
+    root = Path(__file__).resolve().parent.parent
+    skip = shutil.ignore_patterns(".git", "__pycache__", "llm", "spark-warehouse", *removed)
+    copy = shutil.copytree(root, tmp_path / "copy", ignore=skip)
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.oracle_sql()), len(e.queries()))"
+    run = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True)
+    assert run.stdout.split() == ["True", str(len(QUERIES))]
+    (copy / "courierlens" / "llm" / "__pycache__").mkdir(parents=True)
+    left = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True)
+    assert left.stdout == run.stdout
+    found = subprocess.run(
+        [sys.executable, "-m", "pytest", "tests", "-q", "--collect-only", "-p", "no:cacheprovider"],
+        cwd=copy, capture_output=True, text=True, check=False,
+    )
+    assert found.returncode == 0, found.stdout[-2000:]
