@@ -4,16 +4,21 @@ Spark's ``percentile`` keeps every distinct value of a group in one task, which
 suits whole minutes but not coordinates. Here one pass finds a bracket round each
 quartile with ``percentile_approx``, whose error in ranks is bounded; a second
 counts the rows below each bracket, a third the values inside, combined in each
-task. Three passes, whatever the values.
+task. The counted values are sorted into ranges, a range to a task, and stored; running
+sums over the ranges tell which one holds a rank, and only that one is numbered. So a
+quartile costs three passes, whatever the values, and no task holds a bracket.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courierlens.sources import shared
+
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 #: Ranks found by approximation are off by at most a row in so many.
 ACCURACY = 10_000
@@ -102,46 +107,59 @@ def with_quartiles(numeric: DataFrame, figures: list[Figures]) -> DataFrame:
         for f, k, low, high in cells
     ]
     nothing = F.lit(None).cast("struct<column_name: string, k: int, value: double>")
-    # a bracket holds a few rows in ten thousand, or few different values
     counted = (
         numeric.select(F.inline(F.filter(F.array(nothing, *inside), lambda cell: cell.isNotNull())))
         .groupBy("column_name", "k", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    held = [
-        F.array_sort(F.collect_list(F.when(F.col("k") == k, F.struct("value", "n")))).alias(f"held{k}")
-        for k in range(len(QUARTILES))
-    ]
-    joined = base.join(counted.groupBy("column_name").agg(*held), "column_name", "left")
+    ranks = base.select("column_name", "count", F.posexplode(_belows()).alias("k", "below")).where("below IS NOT NULL")
+    points = F.array(*[F.lit(p) for p in QUARTILES.values()])
+    ranks = ranks.withColumn("place", (F.col("count") - 1) * F.get(points, F.col("k")) - F.col("below"))
+    found = values_at(in_ranges(counted), ranks, ["column_name", "k"])
+    each = [F.max(F.when(F.col("k") == k, F.col("value"))).alias(label) for k, label in enumerate(QUARTILES)]
+    joined = base.join(found.groupBy("column_name").agg(*each), "column_name", "left")
+    problem = F.raise_error(F.lit("a quartile lies outside its bracket")).cast("double")
     return joined.select(
         "column_name", "count", "mean", "std", "min", "max",
-        *[
-            F.when(F.col("count") > 0, _quartile(point, f"below{k}", f"held{k}")).alias(label)
-            for k, (label, point) in enumerate(QUARTILES.items())
-        ],
+        *[F.when(F.col("count") > 0, F.coalesce(label, problem)).alias(label) for label in QUARTILES],
     )
 
 
-def _quartile(point: float, below: str, held: str) -> Column:
-    place = (F.col("count") - 1) * point - F.col(below)
-    first, second = _value_at(held, F.floor(place)), _value_at(held, F.ceil(place))
-    between = first + (second - first) * (place - F.floor(place))
-    return F.when(first == second, first).otherwise(between)
-
-
-def _value_at(held: str, rank: Column) -> Column:
-    """The value of a rank among the held ones; a rank outside the bracket fails the run."""
-    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("value"))
-    hit = F.aggregate(
-        held,
-        start,
-        lambda acc, cell: F.struct(
-            (acc["seen"] + cell["n"]).alias("seen"),
-            F.when((acc["seen"] <= rank) & (rank < acc["seen"] + cell["n"]), cell["value"])
-            .otherwise(acc["value"])
-            .alias("value"),
-        ),
-        lambda acc: acc["value"],
+def _belows() -> Column:
+    return F.array(*[F.col(f"below{k}") for k in range(len(QUARTILES))])
+
+
+def in_ranges(counted: DataFrame) -> DataFrame:
+    """Distinct values (column_name, k, value) with their counts n, stored with their range ``part``.
+
+    Ranges are the partitions of a sort, about as many as ``spark.sql.shuffle.partitions``.
+    """
+    spark = counted.sparkSession
+    path = shared.table_path(spark, f"ranks-{uuid4().hex}")
+    ranged = counted.repartitionByRange("column_name", "k", "value").withColumn("part", F.spark_partition_id())
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
+def values_at(ranged: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    """``value`` at the fractional ``place`` (from 0) of each key, linearly interpolated.
+
+    ``ranks`` has a row for each key, so few that each task can have all. No row comes
+    back for a place outside the values.
+    """
+    running = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(*keys, "part").agg(F.sum("n").alias("held"))
+    starts = starts.select(*keys, "part", "held", F.coalesce(F.sum("held").over(running), F.lit(0)).alias("start"))
+    ends = F.array(F.floor("place"), F.ceil("place"))
+    wanted = ranks.select(*keys, "place", F.posexplode(ends).alias("upper", "rank"))
+    holding = starts.join(F.broadcast(wanted), keys).where(
+        (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("held"))
     )
-    problem = F.raise_error(F.lit("a quartile lies outside its bracket")).cast("double")
-    return F.coalesce(hit, problem)
+    within = Window.partitionBy(*keys, "part", "upper").orderBy("value")
+    last = F.col("start") + F.sum("n").over(within)
+    at = ranged.join(F.broadcast(holding.drop("held")), [*keys, "part"]).withColumn("last", last)
+    hits = at.where((F.col("rank") < F.col("last")) & (F.col("rank") >= F.col("last") - F.col("n")))
+    low, high = (F.max(F.when(F.col("upper") == u, F.col("value"))) for u in (0, 1))
+    pair = hits.groupBy(*keys).agg(low.alias("low"), high.alias("high"), F.max("place").alias("place"))
+    between = F.col("low") + (F.col("high") - F.col("low")) * (F.col("place") - F.floor("place"))
+    return pair.select(*keys, F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between).alias("value"))

@@ -149,6 +149,25 @@ def test_quartiles_of_many_rows_with_one_value_in_a_third(spark):
     assert [rows["y"][q] for q in QUARTILES] == [None] * 3
 
 
+def test_quartiles_of_a_bracket_of_many_distinct_values(spark):
+    """A bracket is eight rows in ten thousand; here the whole column is one, of a million values."""
+    from courierlens.operators import quantiles
+
+    n = 1_000_000
+    counted = spark.range(n).select(
+        F.lit("x").alias("column_name"), F.lit(0).alias("k"), (F.pmod(F.col("id") * 7919, F.lit(n)) * 0.5).alias("value"),
+        F.lit(1).cast("long").alias("n"),
+    )
+    ranged = quantiles.in_ranges(counted)
+    assert ranged.select("part").distinct().count() > 1
+    for place, value in ((0.0, 0.0), (n / 2 - 0.25, (n / 2 - 0.25) / 2), (n - 1.0, (n - 1) / 2)):
+        ranks = spark.createDataFrame([("x", 0, place)], "column_name string, k int, place double")
+        (row,) = quantiles.values_at(ranged, ranks, ["column_name", "k"]).collect()
+        assert row["value"] == value
+    outside = spark.createDataFrame([("x", 0, float(n))], "column_name string, k int, place double")
+    assert quantiles.values_at(ranged, outside, ["column_name", "k"]).collect() == []
+
+
 def test_whole_double_range(spark):
     values = [-1.7e308, -1.0, 0.0, 1.0, 1.7e308]
     df = spark.createDataFrame([(v,) for v in values], "x double")
