@@ -36,6 +36,11 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def count_copies(df: DataFrame, name: str) -> DataFrame:
+    """``drop_duplicate_rows`` with the number of equal rows that each one stands for."""
+    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(name))
+
+
 def normalise_text(raw: DataFrame) -> DataFrame:
     """Trim all text columns and turn missing markers into nulls.
 
@@ -89,11 +94,12 @@ def add_clock_parts(normalised: DataFrame) -> DataFrame:
     })
 
 
-def parse_columns(with_clock: DataFrame, config: SlaConfig = DEFAULT) -> DataFrame:
-    """Parse, coerce and fill: one cleaned column per input."""
+def parse_columns(with_clock: DataFrame, config: SlaConfig = DEFAULT, *kept: str) -> DataFrame:
+    """Parse, coerce and fill: one cleaned column per input; ``kept`` columns stay as they are."""
     col = F.col
     ordered, picked = col("ordered"), col("picked")
     return with_clock.select(
+        *kept,
         order_key(col("ID")).alias("order_id"),
         col("Delivery_person_ID").alias("delivery_person_id"),
         text.number(col("Delivery_person_Age")).alias("delivery_person_age"),
@@ -146,14 +152,18 @@ def select_clean(df: DataFrame) -> DataFrame:
     return df.select(*CLEAN_COLUMNS)
 
 
-def clean_orders(raw: DataFrame, config: SlaConfig = DEFAULT) -> DataFrame:
-    """The whole pipeline: 20 raw columns in, the 30 fact columns out."""
+def clean_orders(raw: DataFrame, config: SlaConfig = DEFAULT, copies: str | None = None) -> DataFrame:
+    """The whole pipeline: 20 raw columns in, the 30 fact columns out.
+
+    ``copies`` names one more column: how many equal raw rows the row stands for.
+    """
+    named = raw.transform(strip_column_names)
+    kept = [] if copies is None else [copies]
+    single = named.transform(count_copies, copies) if kept else named.transform(drop_duplicate_rows)
     return (
-        raw.transform(strip_column_names)
-        .transform(drop_duplicate_rows)
-        .transform(normalise_text)
+        single.transform(normalise_text)
         .transform(add_clock_parts)
-        .transform(parse_columns, config)
+        .transform(parse_columns, config, *kept)
         .transform(derive_columns, config)
-        .transform(select_clean)
+        .select(*CLEAN_COLUMNS, *kept)
     )

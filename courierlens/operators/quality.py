@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from courierlens.operators.cleaning import normalise_text
 from courierlens.operators.metrics import distance_totals
 from courierlens.operators.quantiles import QUARTILES, statistics, with_quartiles
 from courierlens.operators.time_counts import (
+    TIME,
     mean_time,
     median_time,
     order_count,
@@ -160,6 +161,48 @@ def quality_report(
     ).withColumn("raw_rows", raw_rows)
 
 
+def observed_figures(config: SlaConfig, copies: str) -> dict[str, Column]:
+    """Aggregates over cleaned rows with their number of copies, from which the report follows.
+
+    All are taken where the table is written, behind the shuffle, so a repeated task
+    counts once. Minutes are few, so their exact median is cheap.
+    """
+    minutes, flag = F.col(TIME), F.col("is_peak_hour")
+    return {
+        "raw_rows": F.sum(copies),
+        "clean_rows": F.count(F.lit(1)),
+        "minutes": F.sum(minutes),
+        "sla_violations": F.count_if(minutes > config.threshold),
+        "median_time": F.percentile(minutes, F.lit(0.5)),
+        "peak_orders": F.count_if(flag == 1),
+        "known_hours": F.count(flag),
+        **distance_totals(),
+    }
+
+
+def report_of_figures(spark: SparkSession, figures: dict, config: SlaConfig = DEFAULT) -> DataFrame:
+    """``quality_report`` from ``observed_figures``, with ``dropped_rows``."""
+    has_rows = figures["clean_rows"] > 0
+    value = {k: F.lit(v).cast("double" if k == "median_time" else "long") for k, v in figures.items()}
+    rows, late, known, valid = (value[k] for k in ("clean_rows", "sla_violations", "known_hours", "distance_n"))
+    none = F.lit(None)
+    return spark.range(1).select(
+        rows.alias("clean_rows") if has_rows else none.cast("long").alias("clean_rows"),
+        F.lit(config.threshold).alias("sla_threshold"),
+        late.alias("sla_violations"),
+        F.round(percent(late, F.when(rows > 0, rows)), 2).alias("sla_violation_rate"),
+        F.round(value["minutes"] / F.when(rows > 0, rows), 2).alias("avg_time"),
+        F.round(value["median_time"], 1).alias("median_time"),
+        value["peak_orders"].alias("peak_orders"),
+        F.round(percent(value["peak_orders"], F.when(known > 0, known)), 2).alias("peak_share_of_known_hours_pct"),
+        valid.alias("valid_distances"),
+        F.round(value["distance_sum"] / (F.when(valid > 0, valid) * 100.0), 2).alias("avg_distance"),
+        (rows - known).alias("missing_order_times"),
+        F.coalesce(value["raw_rows"], F.lit(0)).alias("raw_rows"),
+        (F.coalesce(value["raw_rows"], F.lit(0)) - rows).alias("dropped_rows"),
+    )
+
+
 def issue_audit(raw: DataFrame) -> DataFrame:
     """How many raw rows each cleaning rule applies to, in one pass."""
     col = F.col

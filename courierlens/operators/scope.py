@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 from operator import and_
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from courierlens.settings import (
     TRAFFIC_DOMAIN,
     SlaConfig,
 )
+from courierlens.sources import shared
 
 # Which list of a scope filters which column.
 LIST_COLUMNS = {
@@ -133,9 +136,21 @@ def in_domain_order(
 
 
 def numbered(aggregated: DataFrame, *order: Column | str) -> DataFrame:
-    """Rows of a small aggregated table with their place in a sort order."""
-    place = F.row_number().over(Window.orderBy(*order))
-    return aggregated.withColumn("position", place)
+    """Rows with their place in a sort order, which must leave no ties.
+
+    The rows are sorted into ranges, a range to a task, and stored; each range is
+    numbered on its own from where those before it end.
+    """
+    spark, part = aggregated.sparkSession, "range of the sort"
+    ranged = aggregated.repartitionByRange(*order).withColumn(part, F.spark_partition_id())
+    path = shared.table_path(spark, f"sorted-{uuid4().hex}")
+    ranged.write.parquet(path)
+    stored = spark.read.schema(ranged.schema).parquet(path)
+    held = {r[part]: r["count"] for r in stored.groupBy(part).count().collect()}
+    starts = accumulate([held.get(i, 0) for i in range(max(held, default=0))], initial=0)
+    start = F.get(F.array(*[F.lit(n) for n in starts]), F.col(part))
+    place = start + F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    return stored.withColumn("position", place.cast("int")).drop(part)
 
 
 def at_least(

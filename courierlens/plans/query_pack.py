@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from courierlens.settings import (
     SQL_UNKNOWN_HOUR_LABEL,
     SlaConfig,
 )
+from courierlens.sources import shared
 
 AVG_TIME = "round(avg(delivery_time_min), 2) AS avg_delivery_time_min"
 RATE = "round(avg(is_sla_violated) * 100, 2) AS sla_violation_rate_pct"
@@ -295,6 +297,42 @@ def pack_rows(
     return reduce(DataFrame.unionByName, parts)
 
 
+def stored_pack_rows(
+    spark: SparkSession,
+    deliveries: DataFrame | None = None,
+    pack: dict[str, PackQuery] | None = None,
+) -> DataFrame:
+    """``pack_rows``, run and stored; a report that fails while it runs has a row with its error.
+
+    All reports run in one job of two scans. Only if that fails, each runs on its own, and
+    those that go well have their rows.
+    """
+    queries = pack or query_pack()
+    root = shared.table_path(spark, f"pack-{uuid4().hex}")
+
+    def stored(some: dict[str, PackQuery], name: str) -> DataFrame:
+        rows = pack_rows(spark, deliveries, some)
+        rows.write.parquet(f"{root}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{root}/{name}")
+
+    try:
+        return stored(queries, "all")
+    except PySparkException:
+        pass
+    parts, schema = [], None
+    for number, (name, query) in enumerate(queries.items(), 1):
+        try:
+            part = stored({name: query}, name).withColumn("query_no", F.lit(number))
+        except PySparkException as error:
+            failed = [(number, name, query.title, None, None, None, str(error))]
+            part = spark.createDataFrame(failed, ROWS)
+        parts.append(part)
+    return reduce(DataFrame.unionByName, parts)
+
+
+ROWS = "query_no int, query_name string, title string, row_key string, measure string, value double, error string"
+
+
 def _heading(name: str, numbered: tuple[int, PackQuery]) -> tuple[int, str, str]:
     return numbered[0], name, numbered[1].title
 

@@ -16,11 +16,17 @@ def shared_root(spark: SparkSession) -> str:
     """Folder that the driver and every executor reach.
 
     What ``spark.checkpoint.dir`` names; where that is unset, a folder in the
-    warehouse, which a cluster shares as well. Never a folder of one machine's own.
+    warehouse. Never a folder of one machine's own: on a cluster a warehouse on a
+    local disk is an error.
     """
     named = spark.conf.get(ROOT_SETTING, "")
+    if named:
+        return named.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    return (named or f"{warehouse}/_scratch").rstrip("/")
+    local = spark.conf.get("spark.master", "local").split("[")[0] == "local"
+    if not local and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise RuntimeError(f"set {ROOT_SETTING} to a folder that all executors share; {warehouse} is one machine's own")
+    return f"{warehouse}/_scratch"
 
 
 def table_path(spark: SparkSession, *parts: str) -> str:

@@ -605,14 +605,9 @@ def statements() -> dict[str, str]:
         "scan_raw": from_raw(read_back()),
         "scan_clean": every_clean,
         "sink_clean": every_clean,
-        "register_table": from_clean(
-            "SELECT order_id, city, order_date, delivery_time_min, is_sla_violated "
-            "FROM clean"
-        ),
+        "register_table": from_clean("SELECT * FROM clean"),
         "query_pack": pack_rows(),
-        "build_if_missing": from_clean(
-            "SELECT order_id, order_hour, delivery_time_min FROM clean"
-        ),
+        "build_if_missing": from_clean("SELECT * FROM clean"),
         "cache_scope": from_clean(
             f"{scoped_summary('city')} UNION ALL {scoped_summary('weather')}",
             f"scoped AS (SELECT * FROM clean WHERE {IN_SCOPE})",

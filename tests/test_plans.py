@@ -9,6 +9,7 @@ import pytest
 from courierlens.operators import metrics
 from courierlens.operators.scope import Scope, apply_scope
 from courierlens.plans.catalogue import all_queries
+from courierlens.plans.cleaning_run import event_deliveries
 from courierlens.plans.query_pack import PackQuery, pack_rows, query_pack, run_pack
 from courierlens.plans.report import build_report
 from tests.conftest import DATA_DIR
@@ -61,7 +62,7 @@ def test_describe_reads_the_rows_three_times_whatever_they_are(spark, plan):
 
 
 def test_query_pack_reads_the_table_twice_and_sorts_nothing(spark, plan):
-    text = plan(QUERIES["query_pack"](spark, DATA_DIR))
+    text = plan(pack_rows(spark, event_deliveries(spark, DATA_DIR)))
     final = text.split("== Initial Plan ==")[0]
     assert scans(text) <= 2
     assert "Window" not in final and "Sort [" not in final
