@@ -1,6 +1,7 @@
 """Exact duplicates by skew-safe combining, in DataFrame operations only.
 
-1. Each task merges its own rows of equal text (the partial aggregate).
+1. Each task merges its own rows of equal text: the salt is the task's own, so the
+   partial aggregate leaves one row for a text of the task.
 2. The merged rows meet by (digest, salt): salted groups.
 3. The winners of the salts meet by digest: one winner for each text.
 
@@ -24,6 +25,18 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def salted_groups(rows: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Rows (digest, text, doc_id) merged in each task, then by digest and the salt of the task.
+
+    Which rows share a salt depends on the tasks, the winners do not.
+    """
+    return (
+        rows.select("digest", "text", "doc_id", F.pmod(F.spark_partition_id(), F.lit(salts)).alias("task"))
+        .groupBy("digest", "task", "text")
+        .agg(F.max("doc_id").alias("best"), F.count(F.lit(1)).alias("n"))
+    )
+
+
 def exact_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -44,9 +57,7 @@ def exact_groups(
     ).select(
         "doc_id", "text", digest(F.col("text")).alias("digest"), salt("doc_id", salts).alias("salt")
     )
-    salted = rows.groupBy("digest", "salt", "text").agg(
-        F.max("doc_id").alias("best"), F.count(F.lit(1)).alias("n")
-    )
+    salted = salted_groups(rows, salts)
     winners = salted.repartition("digest").groupBy("digest", "text").agg(
         F.max("best").alias("keep_id"), F.sum("n").alias("group_size")
     )
