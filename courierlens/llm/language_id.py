@@ -16,14 +16,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courierlens.llm.common import fresh, written
+
 #: n-grams of a profile and of a document that are ranked.
 RANKS = 300
 #: Characters whose n-grams are sorted at once; a longer text is sorted alone.
 BLOCK = 400_000
 #: Different n-grams that a task holds before it hands them on.
 HOLD = 1_000_000
-#: Profiles are sent to all tasks; more languages than this are an error in the labels.
-MAX_LANGUAGES = 1000
+#: Languages whose profiles each task holds at once; more are compared in turns.
+TURN_LANGUAGES = 1000
 #: The language of texts that tell nothing.
 UNKNOWN = "und"
 
@@ -204,20 +206,63 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ranks: int = RANKS) -> Profiles:
-    """Profiles from all rows with a text and a language."""
-    known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
+def _labelled(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL"
     )
-    counts = known.mapInArrow(_learn, "lang string, gram long, n long").groupBy("lang", "gram").agg(
-        F.sum("n").alias("n")
-    )
+
+
+def ranked(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ranks: int = RANKS) -> DataFrame:
+    """``lang, gram, place`` of the profiles of all rows with a text and a language."""
+    counts = _labelled(docs, text_col, lang_col).mapInArrow(_learn, "lang string, gram long, n long")
+    counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    top = counts.withColumn("rank", rank).where(F.col("rank") <= ranks)
-    rows = top.select("lang", "gram", F.col("rank") - 1).limit(MAX_LANGUAGES * ranks + 1).collect()
-    if len(rows) > MAX_LANGUAGES * ranks:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    return Profiles([tuple(r) for r in rows], ranks)
+    return counts.withColumn("rank", rank).where(F.col("rank") <= ranks).select(
+        "lang", "gram", (F.col("rank") - 1).alias("place")
+    )
+
+
+def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ranks: int = RANKS) -> Profiles:
+    """Profiles from all rows with a text and a language, of which there are not too many for each task to hold."""
+    return Profiles([tuple(r) for r in ranked(docs, text_col, lang_col, ranks).collect()], ranks)
+
+
+def turns(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ranks: int = RANKS, most: int = TURN_LANGUAGES
+) -> Iterator[Profiles]:
+    """The profiles of about ``most`` languages at a time; of most tables, all at once."""
+    held = _labelled(docs, text_col, lang_col).select("lang").distinct().count()
+    n = max(1, -(-held // most))
+    if n == 1:
+        yield learn(docs, text_col, lang_col, ranks)
+        return
+    table = written(ranked(docs, text_col, lang_col, ranks), "language-profiles")
+    for turn in range(n):
+        own = table.where(F.pmod(F.xxhash64("lang"), F.lit(n)) == turn)
+        yield Profiles([tuple(r) for r in own.collect()], ranks)
+
+
+def with_language(docs: DataFrame, text_col: str, profiles: Iterator[Profiles]) -> tuple[DataFrame, str]:
+    """Docs with the language and score of each text, and the name of that column.
+
+    Of several turns the best one counts: a language before none, the higher score, the
+    first in order. The rows are written between turns.
+    """
+    name = fresh(docs.columns, "found")
+    rows = docs
+    for turn, some in enumerate(profiles):
+        new = predictor(some)(F.col(text_col))
+        if turn == 0:
+            rows = docs.withColumn(name, new)
+            continue
+        other = fresh(rows.columns, "other")
+        rows = written(rows, "language-turn").withColumn(other, new)
+        order = [
+            F.struct((F.col(c)["lang"] == UNKNOWN).alias("u"), (-F.col(c)["score"]).alias("s"), F.col(c)["lang"].alias("l"))
+            for c in (name, other)
+        ]
+        rows = rows.withColumn(name, F.when(order[1] < order[0], F.col(other)).otherwise(F.col(name))).drop(other)
+    return rows, name
 
 
 def predictor(profiles: Profiles):
@@ -230,7 +275,12 @@ def predictor(profiles: Profiles):
 
 
 def identify(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", ranks: int = RANKS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    ranks: int = RANKS,
+    most: int = TURN_LANGUAGES,
 ) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for each row of docs.
 
@@ -239,19 +289,22 @@ def identify(
     nothing to learn from. Equal distances go to the language first in order. Repeated
     rows are predicted alike, an empty table gives no rows, other columns are not read.
     """
-    profiles = learn(docs.where(~held_out(F.col(id_col))), text_col, lang_col, ranks)
-    found = docs.select(
-        F.col(id_col).alias("doc_id"),
-        held_out(F.col(id_col)).alias("held_out"),
-        predictor(profiles)(F.col(text_col)).alias("found"),
+    profiles = turns(docs.where(~held_out(F.col(id_col))), text_col, lang_col, ranks, most)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows, name = with_language(rows, "text", profiles)
+    return rows.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col(name)["lang"].alias("lang_pred"),
+        F.col(name)["score"].alias("score"),
     )
-    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
 
 
 def keep_known(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.0
 ) -> DataFrame:
     """Docs without those whose language is unknown or whose score is below ``least``."""
-    profiles = learn(docs.where(~held_out(F.col(id_col))), text_col, lang_col)
-    found = predictor(profiles)(F.col(text_col))
-    return docs.where((found["lang"] != UNKNOWN) & (found["score"] >= least))
+    profiles = turns(docs.where(~held_out(F.col(id_col))), text_col, lang_col)
+    rows, name = with_language(docs, text_col, profiles)
+    found = F.col(name)
+    return rows.where((found["lang"] != UNKNOWN) & (found["score"] >= least)).drop(name)
