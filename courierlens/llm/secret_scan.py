@@ -2,8 +2,9 @@
 
 Two first-order Markov models, of random strings and of ordinary identifiers, are
 trained from labelled samples: strings of a seeded generator and secrets that the fixed
-patterns find on one side, words outside of such finds on the other. A long
-token is a secret if its log-likelihood ratio is above the threshold.
+patterns find on one side, tokens outside of such finds and identifiers made of ordinary words
+on the other. Both sides are tokens of the characters that are scored. A long token is a
+secret if its log-likelihood ratio is above the threshold.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ KINDS = (*BASE, "markov")
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 #: About so many documents are the labelled sample; they are chosen by a hash of their id.
 SAMPLE = 2000
-#: Strings of the generator.
+#: Random strings and ordinary identifiers of the generators.
 RANDOM = 5000
+ORDINARY = 5000
 #: The least log-likelihood ratio: identifiers are a million times as many.
 THRESHOLD = 14.0
 
@@ -39,7 +41,24 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _PIECE = re.compile(r"[A-Za-z0-9+/_=-]+")
-_WORD = re.compile(r"[A-Za-z0-9_-]{3,}")
+#: Numbers of a fixed form that names things: no secret, however random.
+_NAMED = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: Words of ordinary identifiers, paths and addresses.
+WORDS = (
+    "account action address admin agent amount answer archive array article asset author backup block book "
+    "browser buffer build button cache calendar category channel child class client cloud cluster code "
+    "collection column command comment company component config connection container content context controller "
+    "cookie count country course customer data database date debug default delete detail device directory docker "
+    "download email engine entry error event example export factory feature field file filter folder format "
+    "forum framework function group handler header history home host image import index info input instance "
+    "interface item job json key label language layout link list local location login manager map message "
+    "metadata method model module name network node object option order page parent password path payment "
+    "pipeline platform player plugin policy post price process product profile project property public query "
+    "queue readme record redirect region register report request resource response result role route rule sample "
+    "schema script search section security server service session setting share size source spring status "
+    "storage store stream string summary support system table target task team template test text theme thread "
+    "token topic type update upload usage user util value version video view web widget window worker"
+).split()
 _HINTS = ("passw", "secret", "token", "api")
 
 
@@ -91,6 +110,18 @@ def generated(n: int = RANDOM, seed: int = 7) -> list[str]:
     return ["".join(draw.choices(kinds[i % len(kinds)], k=draw.randint(16, 64))) for i in range(n)]
 
 
+def ordinary(n: int = ORDINARY, seed: int = 11) -> list[str]:
+    """Identifiers, paths, slugs and constants made of ordinary words and small numbers."""
+    draw = random.Random(seed)
+    styles = (
+        lambda w: "/".join(w), lambda w: "/" + "/".join(w) + "/", lambda w: "-".join(w), lambda w: "_".join(w),
+        lambda w: "_".join(w).upper(), lambda w: "".join(x.capitalize() for x in w),
+        lambda w: w[0] + "".join(x.capitalize() for x in w[1:]), lambda w: "/".join([*w[:-1], "".join(x.capitalize() for x in w[-2:])]),
+        lambda w: "-".join([*w, str(draw.randrange(2030))]), lambda w: "=".join(w[:2]), lambda w: "".join(w),
+    )
+    return [styles[i % len(styles)](draw.choices(WORDS, k=draw.randint(2, 6))) for i in range(n)]
+
+
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to (label, pair, n): counts of a task's labelled tokens; label 1: secret."""
     totals = np.zeros((2, (_START + 1) * _START), np.int64)
@@ -104,7 +135,7 @@ def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at = end
             rest.append(text[at:])
             totals[1] += count(secrets)
-            totals[0] += count([w for part in rest for w in _WORD.findall(part)])
+            totals[0] += count([w for part in rest for w in _PIECE.findall(part) if len(w) >= 3])
     for label in (0, 1):
         pair = np.flatnonzero(totals[label])
         if len(pair):
@@ -114,13 +145,19 @@ def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def ratios(random_counts: np.ndarray, plain_counts: np.ndarray) -> np.ndarray:
-    """Log-likelihood ratio of each pair of characters, random over plain, smoothed by a half."""
-    logs = []
-    for counts in (random_counts, plain_counts):
-        rows = counts.reshape(_START + 1, _START) + 0.5
-        logs.append(np.log(rows / rows.sum(axis=1, keepdims=True)))
-    return logs[0] - logs[1]
+def chances(counts: np.ndarray) -> np.ndarray:
+    """The probability of each character after each other one, smoothed by a half."""
+    rows = counts.reshape(_START + 1, _START) + 0.5
+    return rows / rows.sum(axis=1, keepdims=True)
+
+
+def ratios(random_counts: np.ndarray, plain_counts: np.ndarray, ordinary_counts: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of each pair of characters, random over plain.
+
+    Plain is half the tokens of texts and half ordinary identifiers, however many there
+    are of either.
+    """
+    return np.log(chances(random_counts)) - np.log((chances(plain_counts) + chances(ordinary_counts)) / 2)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> np.ndarray:
@@ -132,14 +169,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     sums = chosen.mapInArrow(_samples, "label int, pair long, n long").groupBy("label", "pair").agg(F.sum("n"))
     for label, pair, total in sums.collect():  # at most two tables of pairs of characters
         counts[label][pair] += total
-    return ratios(counts[1], counts[0])
+    return ratios(counts[1], counts[0], count(ordinary()))
 
 
 def spans(text: str | None, ratio: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[str, int, int]]:
     """``(kind, start, end)`` by start, then kind; code points, end exclusive.
 
     Tokens of 16 and more characters that no fixed pattern touches are held against
-    the models. Null and empty texts have no spans.
+    the models, but for those in the form of a UUID. Null and empty texts have no spans.
     """
     if not text:
         return []
@@ -147,6 +184,8 @@ def spans(text: str | None, ratio: np.ndarray, threshold: float = THRESHOLD) ->
     found = [(s, k, e) for s, k, e, _ in base]
     for m in _TOKEN.finditer(text):
         if not any(s < m.end() and m.start() < e for s, _, e, _ in base):
+            if _NAMED.fullmatch(m[0]):
+                continue
             codes = _codes(m[0])
             if ratio[codes[:-1], codes[1:]].sum() >= threshold:
                 found.append((m.start(), len(BASE), m.end()))
