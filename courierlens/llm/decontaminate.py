@@ -71,8 +71,8 @@ class Items:
         self.texts = list(same)
         self.ids = [sorted(x, key=lambda i: (i is None, i or 0)) for x in same.values()]
         hashes, owners, least = [], [], []
-        # items shorter than a shingle are compared with runs of their own length
-        self.short = defaultdict(list)
+        # items shorter than a shingle, by length and words: looked up by the texts' runs of that length
+        self.short: dict[int, dict[str, int]] = defaultdict(dict)
         for i, text in enumerate(self.texts):
             tokens = text.split(" ")
             own = np.unique(shingle_hashes(tokens, width))
@@ -83,7 +83,7 @@ class Items:
             owners.append(np.full(len(sketch), i, np.int32))
             least.append(self.needed(smallest))
             if len(tokens) < width:
-                self.short[len(tokens)].append(i)
+                self.short[len(tokens)][text] = i
         self.least = np.array(least, np.int64)
         every = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         order = np.argsort(every, kind="stable")
@@ -119,8 +119,8 @@ class Items:
                     out.append((i, len(wanted), shared))
         for size, items in self.short.items():
             if len(tokens) > size:
-                have = shingles(tokens, size)
-                out.extend((i, 1, 1) for i in items if self.shingles(i) <= have)
+                runs = {" ".join(run) for run in shingles(tokens, size)}
+                out.extend((items[run], 1, 1) for run in sorted(runs) if run in items)
         return out
 
 
