@@ -17,10 +17,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courierlens.llm.common import attach, written
+from courierlens.llm.common import attach, fresh, same, written
 from courierlens.llm.components import components
 
 SHINGLE = 3
@@ -245,3 +245,29 @@ def near_groups(
         "simhash-rows",
     )
     return named_groups(rows, budget)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET) -> DataFrame:
+    """Docs with one row of each group of near duplicates: that of the least id. The columns stay.
+
+    Null and empty texts have one fingerprint and are a group. Repeated rows of that id
+    and fingerprint are one. Where all ids of a group are null, one of its rows stays. An
+    empty table stays empty.
+    """
+    mark = fresh(docs.columns, "print")
+    marked = written(docs.withColumn(mark, fingerprints()(F.col(text_col))), "simhash-marked")
+    rows = marked.select(F.col(id_col).alias("doc_id"), F.col(mark).alias("print"))
+    named = named_groups(rows, budget)
+    # the least id of a group with its fingerprint; of several such fingerprints the least
+    stays = (
+        named.where(same(F.col("doc_id"), F.col("component_id")))
+        .groupBy("root", "doc_id")
+        .agg(F.min("print").alias("print"))
+        .select(F.col("doc_id").alias("stay_id"), F.col("print").alias("stay_print"))
+    )
+    kept = marked.join(
+        stays, same(marked[id_col], stays["stay_id"]) & (marked[mark] == stays["stay_print"]), "left_semi"
+    )
+    number = fresh(kept.columns, "number")
+    first = F.row_number().over(Window.partitionBy(id_col, mark).orderBy(text_col))
+    return kept.withColumn(number, first).where(F.col(number) == 1).drop(number, mark)
