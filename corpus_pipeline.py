@@ -7,11 +7,10 @@ columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm import decontaminate, language_id, mixing, sharding, simhash
-from courierlens.llm.common import fresh, same, scratch_path, written
+from courierlens.llm.common import scratch_path
 
 #: Texts that fit no profile better than this are rejected as no language. Ordinary
 #: texts of one word score above 0.4.
@@ -19,47 +18,46 @@ LEAST_SCORE = 0.2
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents of a language; null texts, texts without letters and junk go."""
+    """Keeps documents of a language; null texts, texts without letters and junk go.
+
+    Repeated rows are alike kept or dropped; null ids are as good as others.
+    """
     return language_id.keep_known(docs, least=LEAST_SCORE)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates: the one of the least doc_id.
 
-    Repeated rows of that id and fingerprint are one document. Where all ids of a group
-    are null, one of its rows stays.
+    Null and empty texts have one fingerprint and are a group. Repeated rows of that id and
+    fingerprint are one document. Where all ids of a group are null, one of its rows stays.
     """
-    mark = fresh(docs.columns, "print")
-    marked = written(docs.withColumn(mark, simhash.fingerprints()(F.col("text"))), "pipeline-prints")
-    rows = marked.select("doc_id", F.col(mark).alias("print"))
-    named = simhash.named_groups(rows)
-    # the least id of a group with its fingerprint; of several such fingerprints the least
-    stays = (
-        named.where(same(F.col("doc_id"), F.col("component_id")))
-        .groupBy("root", "doc_id")
-        .agg(F.min("print").alias("print"))
-        .select(F.col("doc_id").alias("stay_id"), F.col("print").alias("stay_print"))
-    )
-    kept = marked.join(
-        stays, same(marked["doc_id"], stays["stay_id"]) & (marked[mark] == stays["stay_print"]), "left_semi"
-    )
-    number = fresh(kept.columns, "number")
-    first = F.row_number().over(Window.partitionBy("doc_id", mark).orderBy("text"))
-    return kept.withColumn(number, first).where(F.col(number) == 1).drop(number, mark)
+    return simhash.keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that contain an item of the benchmark."""
+    """Drops documents that contain an item of the benchmark, each repeated row of them.
+
+    Null and empty texts contain nothing and stay, and so does all if the benchmark is
+    empty. Texts are searched as a whole.
+    """
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents so that the sources' words come near their targets."""
+    """Repeats documents so that the sources' words come near their targets.
+
+    A document is there as often as the mix takes it, some not at all. A null source is
+    one like any other, null and empty texts have no words, rows of null ids share one coin.
+    """
     return mixing.mix(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of each row that is left."""
+    """The shard and slot of each row that is left.
+
+    Rows of equal text share a shard, null counts as empty; repeated rows and null ids
+    get slots of their own.
+    """
     return sharding.assign(docs)
 
 
