@@ -12,6 +12,7 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -211,6 +212,56 @@ def test_words_of_a_shared_number_have_their_own_probabilities(spark, monkeypatc
     assert 0.97 < np.exp(list(found.values())).sum() < 1.001
 
 
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "SHARD_WORDS", 5000)
+    base = spark.read.parquet(f"{DATA_DIR}/documents.parquet").where("doc_id < 60")
+    found = [tuples(masked_lm.score(base.repartition(n))) for n in (1, 4, 16)]
+    assert found[0] == found[1] == found[2]
+
+
+def plain_score(net, known, tokens):
+    """Sum of log-probabilities, word by word, from the network's parts."""
+    ids, total = [net.classes**2] * net.side + list(known.ids(tokens)) + [net.classes**2] * net.side, 0.0
+    p = {k: v.astype(np.float64) for k, v in net.part.items()}
+    for i in range(net.side, len(ids) - net.side):
+        seen = [ids[i + d] for d in range(-net.side, net.side + 1) if d]
+        h = np.tanh(sum(p["seen"][k][w] for k, w in enumerate(seen)) + p["bias"])
+        k, m = divmod(ids[i], net.classes)
+        group, member = h @ p["group"] + p["group_bias"], h @ p["member"][k] + p["member_bias"][k]
+        total += group[k] - np.log(np.exp(group).sum()) + member[m] - np.log(np.exp(member).sum())
+    return total
+
+
+def test_scores_equal_a_plain_computation(spark):
+    base = spark.read.parquet(f"{DATA_DIR}/documents.parquet").where("doc_id < 30").select("doc_id", "text")
+    counts = masked_lm.counted(base)
+    known, rest = masked_lm.known_words(counts)
+    net = masked_lm.train(base, known)
+    count = {bytes(r["word"]): r["n"] for r in counts.collect()}
+    assert count == Counter(w for r in base.collect() for w in masked_lm.words(r["text"]))
+    shared = Counter()
+    own = set(sorted(count, key=lambda w: (-count[w], w))[: known.own])
+    number = {w: int(known.ids([w])[0]) for w in count}
+    for w, n in count.items():
+        shared[number[w]] += n if w not in own else 0
+    found = {r["doc_id"]: r["log_prob"] for r in masked_lm.score(base).collect()}
+    # the query deals rows by doc_id, train() by text: train on what the query trains on
+    net = masked_lm.fitted(masked_lm.numbered(base, known), known)
+    for r in base.collect():
+        tokens = masked_lm.words(r["text"])
+        parted = sum(np.log(count[w] / shared[number[w]]) for w in tokens if w not in own)
+        assert found[r["doc_id"]] == pytest.approx(plain_score(net, known, tokens) + parted, rel=1e-4, abs=1e-2)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aBÉé \t\n\x0b\x0c\r\x1c\x85 x", max_size=12)), max_size=8))
+def test_words_in_bulk_are_the_words(texts):
+    different, places, sizes = masked_lm.coded(pa.array(texts, pa.string()))
+    flat = [different[int(i)].as_py() for i in places]
+    ends = np.r_[0, np.cumsum(sizes)]
+    assert [flat[a:b] for a, b in zip(ends, ends[1:])] == [masked_lm.words(t) for t in texts]
+
+
 def test_the_network_grows_with_the_distinct_words(spark, monkeypatch):
     monkeypatch.setattr(masked_lm, "CLASSES", 2)
     sizes = []
@@ -245,6 +296,21 @@ def test_texts_of_one_digest_are_told_apart(spark):
     assert tuples(found.drop("digest")) == sorted((r[:4] for r in brute_groups(rows)), key=repr)
 
 
+def test_copies_of_a_task_are_one_row_before_the_shuffle(spark):
+    text = F.concat(F.lit("t"), F.when(F.col("id") < 20_000, F.lit(0)).otherwise(F.col("id")).cast("string"))
+    rows = spark.range(0, 20_300, numPartitions=2).select(F.col("id").alias("doc_id"), text.alias("text"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        merged = exact_dedup.salted_groups(rows.withColumn("digest", exact_dedup.sha256(F.col("text"))))
+        assert len(merged.collect()) == 302  # a row for each task, and 300 others
+        node = merged._jdf.queryExecution().executedPlan()
+        while node.nodeName() != "Exchange":
+            node = node.children().apply(0)
+        assert node.metrics().apply("shuffleRecordsWritten").value() == 302
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 # --- 4 mixing
 
 
@@ -444,6 +510,23 @@ def test_models_tell_random_strings_from_words(ratio, spark):
     assert added == 0
 
 
+@pytest.mark.parametrize("text", [
+    "com/example/project/ServiceFactoryBean", "https-example-com-products-category", "MAX_CONNECTION_POOL_SIZE",
+    "/api/customers/account/settings/profile/", "123e4567-e89b-12d3-a456-426614174000", "/usr/local/share/documents/readme",
+    "getApplicationContextProvider", "src/main/java/org/example/MainWindow",
+])
+def test_ordinary_identifiers_are_no_secrets(ratio, text):
+    assert secret_scan.spans(f"see {text} now", ratio) == []
+
+
+def test_models_on_samples_that_they_were_not_trained_on(ratio):
+    held = [s for s in secret_scan.ordinary(3000, seed=5) if len(s) >= 16]
+    wrong = [s for s in held if secret_scan.spans(s, ratio)]
+    assert len(wrong) <= 0.001 * len(held), wrong[:5]
+    fresh = [s for s in secret_scan.generated(600, seed=5)]
+    assert sum(bool(secret_scan.spans(s, ratio)) for s in fresh) >= 0.99 * len(fresh)
+
+
 def test_secrets_on_awkward_rows(spark):
     rows = [*ROWS, (20, 'é token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" ' + "y " * 50_000, None, None, None)]
     found = {r["doc_id"]: r["spans"] for r in secret_scan.find(clashing(spark, rows)).collect()}
@@ -516,6 +599,21 @@ def test_language_on_awkward_rows(spark):
     assert nothing[0]["lang_pred"] == "und"
 
 
+def test_languages_are_compared_in_turns(spark):
+    draw = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(40):
+        own = "".join(draw.sample(letters, 6))
+        for i in range(4):
+            words = ["".join(draw.choice(own) for _ in range(draw.randrange(2, 7))) for _ in range(40)]
+            rows.append((4 * k + i, " ".join(words), f"l{k:02d}", None, None))
+    table = docs(spark, rows + ROWS)
+    whole = tuples(language_id.identify(table))
+    assert tuples(language_id.identify(table, most=7)) == whole
+    assert len({r[2] for r in whole}) > 30
+
+
 def test_many_scripts_in_one_block():
     texts = ["".join(chr(c) for c in range(start, start + 300)) for start in range(0x4E00, 0x9000, 300)] * 3
     parts = list(language_id._in_parts(texts))
@@ -734,6 +832,21 @@ def test_threshold_is_exact():
     assert not items.find("x a b c d e f g h i j k y")
 
 
+def test_many_short_items_cost_a_text_little():
+    import time
+
+    items = [(i, f"w{i % 700} x{i // 700} y{i % 3}"[: 9 + i % 5]) for i in range(300_000)]
+    found = decontaminate.Items(items, 5, Fraction(4, 5))
+    draw = random.Random(1)
+    texts = [" ".join(f"{draw.choice('wxy')}{draw.randrange(700)}" for _ in range(300)) for _ in range(100)]
+    began = time.process_time()
+    for text in texts:
+        found.find(text)
+    assert time.process_time() - began < 100 * 0.02
+    for i in (0, 5, 200_000):
+        assert i in {k for k, _, _ in found.find(f"a b {found.texts[i]} c d e f")}
+
+
 # --- 10 sharding
 
 

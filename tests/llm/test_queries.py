@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from courierlens.llm import decontaminate, language_id, queries
@@ -77,6 +79,25 @@ def test_sharding_query_is_even(spark):
     assert set(found["law"]) == {"bytes"} and found["grown_shard"].isna().all()
 
 
+def test_sharding_query_equals_plain_differencing(spark):
+    groups = (
+        table(spark)
+        .select(F.unhex(F.sha2("text", 256)).alias("digest"), (F.octet_length("text") + 16).cast("long").alias("size"))
+        .groupBy(F.xxhash64("digest").alias("part"))
+        .agg(F.sum("size").alias("bytes"))
+    )
+    heap = [(-n, i, [n] + [0] * 39) for i, (_, n) in enumerate(sorted(map(tuple, groups.collect())))]
+    heapq.heapify(heap)
+    made = len(heap)
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
+        joined = sorted((x + y for x, y in zip(a, reversed(b))), reverse=True)
+        heapq.heappush(heap, (joined[-1] - joined[0], made, joined))
+        made += 1
+    found = QUERIES["op10_sharding"](spark, DATA_DIR).groupBy("shard").agg(F.sum("size").alias("n")).collect()
+    assert sorted((r["n"] for r in found), reverse=True) == heap[0][2]
+
+
 # --- the pipeline
 
 
