@@ -160,6 +160,11 @@ def clean_orders(raw: DataFrame, config: SlaConfig = DEFAULT, copies: str | None
     named = raw.transform(strip_column_names)
     kept = [] if copies is None else [copies]
     single = named.transform(count_copies, copies) if kept else named.transform(drop_duplicate_rows)
+    return clean_single(single, config, *kept)
+
+
+def clean_single(single: DataFrame, config: SlaConfig = DEFAULT, *kept: str) -> DataFrame:
+    """The pipeline behind the removal of duplicate rows: projections only."""
     return (
         single.transform(normalise_text)
         .transform(add_clock_parts)

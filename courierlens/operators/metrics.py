@@ -300,11 +300,9 @@ def bin_width(low: Column, high: Column, max_bins: int = HISTOGRAM_MAX_BINS) ->
     Bins start at multiples of the width, so one more may be needed than the
     spread alone would fill.
     """
-    fits = [
-        F.when(F.floor(high / w) - F.floor(low / w) + 1 <= max_bins, F.lit(float(w)))
-        for w in BIN_WIDTHS
-    ]
-    return F.coalesce(*fits)
+    widths = F.array(*[F.lit(float(w)) for w in BIN_WIDTHS])
+    fits = F.filter(widths, lambda w: F.floor(high / w) - F.floor(low / w) + 1 <= max_bins)
+    return F.get(fits, F.lit(0))
 
 
 def histogram(
@@ -321,12 +319,9 @@ def histogram_from(
     max_bins: int = HISTOGRAM_MAX_BINS,
 ) -> DataFrame:
     """Orders per bin of delivery time, with the median and threshold marks."""
-    marks = counts.agg(
-        F.struct(
-            bin_width(F.min(TIME), F.max(TIME), max_bins).alias("width"),
-            median_time().alias("median"),
-        )
-    ).scalar()
+    ends = counts.agg(F.min(TIME).alias("low"), F.max(TIME).alias("high"), median_time().alias("median"))
+    width = bin_width(F.col("low"), F.col("high"), max_bins)
+    marks = ends.select(F.struct(width.alias("width"), "median")).scalar()
     width = marks["width"]
     start = F.floor(F.col(TIME) / width) * width
     return (

@@ -65,7 +65,7 @@ def _missing(field: T.StructField) -> Column:
     return c.isNull()
 
 
-def _row_digest(df: DataFrame) -> Column:
+def row_digest(df: DataFrame) -> Column:
     """32 bytes that stand for a whole row, nulls and lengths included."""
     parts = []
     for field in df.schema:
@@ -83,7 +83,7 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     Digests of the rows are counted within each task before the shuffle, so a
     large group of copies reaches the reducer as one digest per task.
     """
-    groups = df.groupBy(_row_digest(df).alias("digest")).count()
+    groups = df.groupBy(row_digest(df).alias("digest")).count()
     extra = F.coalesce(F.sum(F.col("count") - 1), F.lit(0))
     return groups.agg(extra.alias("duplicate_rows"))
 
