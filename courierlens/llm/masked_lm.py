@@ -2,8 +2,10 @@
 
 A network sees the words on both sides of a hidden one and predicts it. A document's
 score is the sum of the log-probabilities of its words, each given its window. Training is
-data-parallel: in each round every task trains a copy of the network on all of its own
-documents, and the copies are averaged, weighted by words, in an aggregate.
+data-parallel: documents are dealt to shards by a hash of their words and id; in each round
+a copy of the network is trained on each shard, document after document in the order of
+their hashes, and the copies are averaged, weighted by words, in an aggregate. So the
+scores depend on the documents, not on how they lie in files and partitions.
 
 The hidden word is predicted in two steps, its class and the word in the class, so
 a word costs the square root of the network's numbers. These grow with the corpus, as the
@@ -17,13 +19,14 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import chain, groupby, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -35,16 +38,17 @@ SIDE = 2
 #: times CLASSES numbers, of which one in SHARED is shared by hash.
 CLASSES = 32
 SHARED = 4
-#: Commonest words whose counts the tasks hold; the counts of others are joined.
-HELD = 50_000
+#: Commonest words, about, whose shares the tasks hold; the shares of others are joined.
+HELD = 200_000
 #: Width of the hidden layer.
 WIDTH = 16
 ROUNDS = 2
+#: Words of a training shard, or more where the corpus has more than SHARDS times as many.
+SHARD_WORDS = 1_000_000
+SHARDS = 1024
 RATE = 0.15
 #: Words of a training step, and of a scoring step.
 BATCH = 8192
-#: Different words that a counting task holds before it hands them on.
-HOLD = 300_000
 #: Parameters are averaged as whole numbers of this unit, so their order doesn't matter.
 UNIT = 1 << 24
 #: Logarithms of shares are added as whole numbers of this part of one.
@@ -56,6 +60,32 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def _slices(texts: pa.Array, most: int = 16 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes; a longer text is alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield start, stop
+        start = stop
+
+
+def coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of texts, the place of each word among them, and each text's number of words.
+
+    The words are those of ``words``, split for all texts at once.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    there = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    if not there.all():  # white space at either end
+        owner = np.repeat(np.arange(len(sizes)), sizes)[there]
+        flat, sizes = flat.filter(pa.array(there)), np.bincount(owner, minlength=len(sizes))
+    found = flat.dictionary_encode()
+    return found.dictionary.cast(pa.binary()), found.indices.to_numpy(zero_copy_only=False), sizes
+
+
 class Vocabulary:
     """Numbers of words: the commonest by rank, others by hash.
 
@@ -87,6 +117,15 @@ class Vocabulary:
         found[others] = self.by_hash(rest)
         return found, int(self.share[held].sum()), rest
 
+    def look_each(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each token's number, its share if that is held, and whether it is not."""
+        found = np.fromiter(map(self.rank.get, tokens, repeat(-1)), np.int64, len(tokens))
+        unknown = found < 0
+        numbers, shares = np.empty(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
+        numbers[~unknown], shares[~unknown] = self.number[found[~unknown]], self.share[found[~unknown]]
+        numbers[unknown] = self.by_hash([tokens[i] for i in np.flatnonzero(unknown)])
+        return numbers, shares, unknown
+
     def ids(self, tokens: list[bytes]) -> np.ndarray:
         return self.look(tokens)[0]
 
@@ -162,33 +201,33 @@ class Network:
         group, member = target // c, target % c
         seen = self.window(ids, at)
         h = self.hidden(seen)
+        # a last unit of ones, so that the biases are rows of the matrices
+        wide = np.ones((len(h), self.width + 1), h.dtype)
+        wide[:, :-1] = h
+        members = np.concatenate([p["member"], p["member_bias"][:, None]], axis=1)
         steep = self.steep()
-        score = h @ p["group"]
-        score += p["group_bias"]
-        logs, slope = self._predict(score, group, steep, train)
+        logs, slope = self._predict(wide @ np.vstack([p["group"], p["group_bias"]]), group, steep, train)
         if train:
             grad = np.zeros_like(self.flat)
             g = self.parts(grad, self.shapes, self.sizes)
-            g["group"][:] = h.T @ slope
-            g["group_bias"][:] = slope.sum(axis=0)
+            both = wide.T @ slope
+            g["group"][:], g["group_bias"][:] = both[:-1], both[-1]
             back = slope @ p["group"].T
         ends = np.searchsorted(group, np.arange(c + 1))
         for k in range(c):
             lo, hi = ends[k], ends[k + 1]
             if lo == hi:
                 continue
-            own = h[lo:hi] @ p["member"][k]
-            own += p["member_bias"][k]
-            more, slope = self._predict(own, member[lo:hi], steep, train)
+            more, slope = self._predict(wide[lo:hi] @ members[k], member[lo:hi], steep, train)
             logs[lo:hi] += more
             if train:
-                g["member"][k] = h[lo:hi].T @ slope
-                g["member_bias"][k] = slope.sum(axis=0)
+                both = wide[lo:hi].T @ slope
+                g["member"][k], g["member_bias"][k] = both[:-1], both[-1]
                 back[lo:hi] += slope @ p["member"][k].T
         if train:
             back *= 1 - h * h
             g["bias"][:] = back.sum(axis=0)
-            back = np.ascontiguousarray(back.T)
+            back = np.ascontiguousarray(back.T, np.float64)
             for k in range(len(seen)):
                 for j in range(self.width):
                     g["seen"][k][:, j] = np.bincount(seen[k], back[j], c * c + 1)
@@ -217,21 +256,13 @@ def _streams(texts: Iterable[np.ndarray], size: int, side: int) -> Iterator[tupl
 
 
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter[bytes] = Counter()
-
-    def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"]
-        )
-
+    """The different words of some texts at a time with their counts, which Spark adds up within the task."""
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            held.update(words(text))
-            if len(held) > HOLD:
-                yield rows()
-                held.clear()
-    if held:
-        yield rows()
+        texts = batch.column("text")
+        for start, stop in _slices(texts):
+            different, places, _ = coded(texts.slice(start, stop - start))
+            n = np.bincount(places, minlength=len(different))
+            yield pa.RecordBatch.from_arrays([different, pa.array(n, pa.int64())], ["word", "n"])
 
 
 def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -267,13 +298,25 @@ def known_words(counts: DataFrame) -> tuple[Vocabulary, DataFrame | None]:
     own = counts.orderBy(*order).limit(n_own).collect()
     if distinct <= n_own:
         return Vocabulary([bytes(r["word"]) for r in own], classes), None
-    shares = _shares(counts, own, hashed)
-    held = shares.orderBy(*order).limit(max(1, HELD - n_own)).collect()
+    shares = written(_shares(counts, own, hashed), "masked-shares")
+    beyond = distinct - n_own
+    least = _count_above(shares, max(1, HELD - n_own), beyond)
+    held = shares.where(F.col("n") > least).collect()
     known = Vocabulary([bytes(r["word"]) for r in own + held], classes, [r["share"] for r in held])
-    rest = shares.where(_after(held[-1])).select("word", "share") if distinct > n_own + len(held) else None
+    rest = shares.where(F.col("n") <= least).select("word", "share") if beyond > len(held) else None
     return known, rest
 
 
+def _count_above(shares: DataFrame, most: int, words: int) -> int:
+    """A count above which there are about ``most`` of the words, never more than twice as many."""
+    if words <= most:
+        return 0
+    least = shares.agg(F.percentile_approx("n", 1 - most / words, 10_000)).first()[0]
+    while shares.where(F.col("n") > least).count() > 2 * most:
+        least *= 2
+    return least
+
+
 def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
     """The commonest words of all rows; equal counts by the word."""
     return known_words(counted(docs, text_col))[0]
@@ -282,32 +325,35 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
 def _numbering(known: Vocabulary):
     """Texts to their words' numbers, held shares, and the words whose shares are not held."""
 
-    def rows(ids: pa.Array, texts: list[tuple[np.ndarray, int, Counter]]) -> pa.RecordBatch:
-        ends = np.cumsum([0] + [len(rest) for _, _, rest in texts]).astype(np.int32)
-        word = pa.array([w for _, _, rest in texts for w in rest], pa.binary())
-        n = pa.array([n for _, _, rest in texts for n in rest.values()], pa.int64())
+    def rows(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        different, places, sizes = coded(texts)
+        number, share, unknown = known.look_each(different.to_pylist())
+        numbers, ends = number.astype(known.kind)[places], np.r_[0, np.cumsum(sizes)]
+        shares = np.r_[0, np.cumsum(share[places])][ends]
+        # the words whose shares are not held, with their counts in each text
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        rest = unknown[places]
+        pairs, n = np.unique(owner[rest] * max(1, len(different)) + places[rest], return_counts=True)
+        per_text = np.bincount(pairs // max(1, len(different)), minlength=len(sizes))
+        word = different.take(pa.array(pairs % max(1, len(different)), pa.int64()))
+        cells = pa.StructArray.from_arrays([word, pa.array(n, pa.int64())], ["word", "n"])
+        raw = numbers.tobytes()
+        at = (ends * known.kind.itemsize).tolist()
         return pa.RecordBatch.from_arrays(
             [
                 ids,
-                pa.array([numbers.tobytes() for numbers, _, _ in texts], pa.binary()),
-                pa.array([share for _, share, _ in texts], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([word, n], ["word", "n"])),
+                pa.array([raw[a:b] for a, b in zip(at, at[1:])], pa.binary()),
+                pa.array(np.diff(shares), pa.int64()),
+                pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per_text)], pa.int32()), cells),
             ],
             ["doc_id", "ids", "share", "rest"],
         )
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held, size, start = [], 0, 0
-            for at, text in enumerate(batch.column("text").to_pylist()):
-                ids, share, rest = known.look(words(text))
-                held.append((ids.astype(known.kind), share, Counter(rest)))
-                size += len(ids)
-                if size > HOLD:
-                    yield rows(batch.column("doc_id").slice(start, len(held)), held)
-                    held, size, start = [], 0, at + 1
-            if held:
-                yield rows(batch.column("doc_id").slice(start, len(held)), held)
+            texts = batch.column("text")
+            for start, stop in _slices(texts):
+                yield rows(batch.column("doc_id").slice(start, stop - start), texts.slice(start, stop - start))
 
     return number
 
@@ -322,41 +368,53 @@ def numbered(docs: DataFrame, known: Vocabulary, id_col: str = "doc_id", text_co
 
 
 def _training(start: np.ndarray, classes: int, kind: np.dtype, rate: float):
-    """Numbers to (place, total): the task's trained parameters in units, times its words."""
+    """Numbers, sorted by shard, to (place, high, low): its trained parameters in units, times its words."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(classes, flat=start.copy())
-        squares = np.full(len(start), 1e-6, np.float32)
-        seen = 0
-        texts = (np.frombuffer(x.as_buffer(), kind) for batch in batches for x in batch.column("ids"))
-        for ids, at, _ in _streams(texts, classes * classes, net.side):
-            for i in range(0, len(at), BATCH):
-                net.step(ids, at[i : i + BATCH], squares, rate)
-            seen += len(at)
-        if seen:
-            whole = np.rint(net.flat.astype(np.float64) * UNIT).astype(np.int64) * seen
-            place = np.arange(-1, len(whole), dtype=np.int32)  # -1: the words
-            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(np.r_[seen, whole])], ["place", "total"])
+        rows = chain.from_iterable(zip(b.column("shard").to_pylist(), b.column("ids")) for b in batches)
+        for _, shard in groupby(rows, key=lambda row: row[0]):
+            net = Network(classes, flat=start.copy())
+            squares = np.full(len(start), 1e-6, np.float32)
+            seen = 0
+            texts = (np.frombuffer(x.as_buffer(), kind) for _, x in shard)
+            for ids, at, _ in _streams(texts, classes * classes, net.side):
+                for i in range(0, len(at), BATCH):
+                    net.step(ids, at[i : i + BATCH], squares, rate)
+                seen += len(at)
+            whole = np.r_[seen, np.rint(net.flat.astype(np.float64) * UNIT).astype(np.int64) * seen]
+            place = np.arange(-1, len(whole) - 1, dtype=np.int32)  # -1: the words
+            # two whole numbers, so that the sums over any number of shards stay exact
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place), pa.array(whole >> 32), pa.array(whole & 0xFFFFFFFF)], ["place", "high", "low"]
+            )
 
     return train
 
 
 def fitted(rows: DataFrame, known: Vocabulary, rounds: int = ROUNDS, rate: float = RATE) -> Network:
-    """The network after so many rounds over all numbered rows."""
+    """The network after so many rounds over all numbered rows, dealt to shards."""
     net = Network(known.classes)
-    ids = rows.select("ids").where(F.octet_length("ids") > 0)
+    ids = rows.select("ids", F.xxhash64("ids", "doc_id").alias("hash")).where(F.octet_length("ids") > 0)
+    held = ids.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    shards = min(SHARDS, max(1, held // (known.kind.itemsize * SHARD_WORDS)))
+    dealt = ids.withColumn("shard", F.pmod("hash", F.lit(shards))).repartition(shards, "shard")
+    # read in each round; a part that is lost with its executor is dealt and sorted again
+    ids = dealt.sortWithinPartitions("shard", "hash", "ids").select("shard", "ids").persist(StorageLevel.DISK_ONLY)
     for _ in range(rounds):
-        copies = ids.mapInArrow(_training(net.flat, known.classes, known.kind, rate), "place int, total long")
-        sums = copies.groupBy("place").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"))
+        train_copy = _training(net.flat, known.classes, known.kind, rate)
+        copies = ids.mapInArrow(train_copy, "place int, high long, low long")
+        sums = copies.groupBy("place").agg(F.sum("high").alias("high"), F.sum("low").alias("low"))
         found = sums.toPandas()
         if found.empty:
             break
-        total = dict(zip(found["place"].tolist(), map(int, found["total"]), strict=True))
+        parts = zip(found["place"].tolist(), found["high"].tolist(), found["low"].tolist(), strict=True)
+        total = {place: (high << 32) + low for place, high, low in parts}
         seen = total.pop(-1)
         flat = np.empty_like(net.flat)
         for place, value in total.items():
             flat[place] = value / (UNIT * seen)
         net = Network(known.classes, flat=flat)
+    ids.unpersist()
     return net
 
 
