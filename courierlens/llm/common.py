@@ -8,6 +8,8 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courierlens.sources.shared import shared_root
+
 #: Parts that the rows of one key are dealt to before they meet.
 SALTS = 64
 
@@ -16,10 +18,9 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
     It is what ``spark.checkpoint.dir`` names; where that is unset, a folder in the
-    session's warehouse, which a cluster shares as well.
+    session's warehouse, which must not be one machine's own on a cluster.
     """
-    named = spark.conf.get("spark.checkpoint.dir", "")
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return shared_root(spark)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
