@@ -352,7 +352,7 @@ def _numbering(known: Vocabulary):
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            for start, stop in _slices(texts):
+            for start, stop in _slices(texts, 4 << 20):  # the arrays by word are several times the text
                 yield rows(batch.column("doc_id").slice(start, stop - start), texts.slice(start, stop - start))
 
     return number
