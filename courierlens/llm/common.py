@@ -50,14 +50,17 @@ def salt(column: str, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(salts)).cast("int")
 
 
-def attach(rows: DataFrame, labels: DataFrame, key: str, spread: str, salts: int = SALTS) -> DataFrame:
+def attach(
+    rows: DataFrame, labels: DataFrame, key: str, spread: str, salts: int = SALTS, how: str = "inner"
+) -> DataFrame:
     """Join labels (one row for each key) to rows, though one key may hold a third of the rows.
 
     Rows are dealt by key and a salt of the column ``spread``. Each pair of key and
     salt that occurs gets its label first, at most ``salts`` rows for a key; the
-    rows then meet only the label of their own pair. Null keys don't match.
+    rows then meet only the label of their own pair. Null keys don't match. ``how`` may be
+    left: rows of keys without a label stay, those of null keys go.
     """
     part = fresh([*rows.columns, *labels.columns], "part")
     dealt = rows.withColumn(part, salt(spread, salts))
-    pairs = dealt.select(key, part).distinct().join(labels, key)
+    pairs = dealt.select(key, part).distinct().join(labels, key, how)
     return dealt.join(pairs, [key, part]).drop(part)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courierlens.llm.common import attach, fresh, same, written
-from courierlens.llm.components import components
+from courierlens.llm.components import merge, rooted
 
 SHINGLE = 3
 BUDGET = 3
@@ -74,20 +74,6 @@ def _length(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.uint64)
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Give what the links a-b connect one label, the least index."""
-    while len(a):
-        la, lb = label[a], label[b]
-        np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
-        while True:
-            up = label[label]
-            if np.array_equal(up, label):
-                break
-            label[:] = up
-        open_ = label[a] != label[b]
-        a, b = a[open_], b[open_]
-
-
 def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Where the second child of each node [lo, hi) begins; length: of its differing bits."""
     last = length - np.uint64(1)
@@ -134,7 +120,7 @@ def trie_labels(keys: np.ndarray, budget: int, lead: int) -> np.ndarray:
             go = (differing <= budget) & ~done
             leaf = go & (la == 0) & (lb == 0)
             if leaf.any():
-                _merge(label, alo[leaf], blo[leaf])
+                merge(label, alo[leaf], blo[leaf])
                 changed = True
             for side, (plo, phi, length, qlo, qhi) in enumerate(
                 ((alo, ahi, la, blo, bhi), (blo, bhi, lb, alo, ahi))
@@ -213,20 +199,24 @@ def near_links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
 
 
 def near_components(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """``print, root`` for distinct fingerprints: the least (signed) one reachable."""
-    roots = components(near_links(prints, budget))
+    """Adds ``root`` to distinct fingerprints, column ``print``: one that is reachable, the same for all that are."""
+    roots = rooted(near_links(prints.select("print"), budget))
     return prints.join(roots, prints["print"] == roots["node"], "left").select(
-        "print", F.coalesce("root", "print").alias("root")
+        *[prints[c] for c in prints.columns], F.coalesce("root", "print").alias("root")
     )
 
 
 def named_groups(rows: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """``doc_id, print, root, component_id`` for written rows ``doc_id, print``."""
+    """``doc_id, print, root, component_id`` for written rows ``doc_id, print``.
+
+    root is the least (signed) fingerprint reachable.
+    """
     prints = written(rows.groupBy("print").agg(F.min("doc_id").alias("least")), "simhash-prints")
-    found = written(near_components(prints.select("print"), budget), "simhash-roots")
-    named = prints.join(found, "print")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = attach(named.select("print", "root"), ids, "root", "print")
+    named = written(near_components(prints, budget), "simhash-roots")
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"), F.min("print").alias("first"))
+    labels = attach(named.select("print", "root"), ids, "root", "print").select(
+        "print", F.col("first").alias("root"), "component_id"
+    )
     return attach(rows, labels, "print", "doc_id").select("doc_id", "print", "root", "component_id")
 
 

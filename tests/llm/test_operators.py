@@ -126,6 +126,49 @@ def test_components_of_a_path_and_a_star(spark):
     assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
 
 
+@pytest.mark.parametrize("batch", [15, 200_000])
+def test_components_of_shuffled_chains_and_hubs(spark, monkeypatch, batch):
+    monkeypatch.setattr(components, "BATCH", batch)  # few links a task: many rounds
+    draw = random.Random(8)
+    name = [n - 2000 for n in draw.sample(range(4000), 700)]
+    edges = [(i, i + 1) for i in range(299)] + [(300, i) for i in range(301, 500)] + [(i, 699) for i in range(500, 699)]
+    links = [draw.sample([name[a], name[b]], 2) for a, b in draw.sample(edges + edges[::9], len(edges + edges[::9]))]
+    links += [(name[0], name[0]), (9999, 9999)]
+    found = components.components(spark.createDataFrame(links, "u long, v long").repartition(9))
+    parts = [name[:300], name[300:500], name[500:]]
+    assert tuples(found) == sorted(((n, min(part)) for part in parts for n in part), key=repr)
+    rooted = defaultdict(set)
+    for node, root in components.rooted(spark.createDataFrame(links, "u long, v long").repartition(9)).collect():
+        rooted[root].add(node)
+    assert sorted(sorted(nodes | {root}) for root, nodes in rooted.items()) == sorted(map(sorted, parts))
+
+
+def test_near_groups_take_few_tasks_over_many_partitions(spark):
+    draw, rows = random.Random(3), set()
+    for _ in range(40):
+        key = draw.getrandbits(64)
+        for _ in range(30):
+            key ^= 1 << draw.randrange(64) | 1 << draw.randrange(64)
+            rows.add(key - 2**64 if key >= 2**63 else key)
+    prints = spark.createDataFrame(list(enumerate(rows)), "doc_id long, print long")
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("near-groups", "near groups")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = simhash.named_groups(prints).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for job in tracker.getJobIdsForGroup("near-groups") for s in tracker.getJobInfo(job).stageIds}
+    tasks = sum(info.numCompletedTasks for s in stages if (info := tracker.getStageInfo(s)))
+    assert len(found) == len(rows) and len({r["component_id"] for r in found}) == 40
+    assert 0 < tasks < 30 * 60
+
+
 def test_near_groups_on_awkward_rows(spark):
     found = simhash.near_groups(clashing(spark)).collect()
     by_id = defaultdict(list)
