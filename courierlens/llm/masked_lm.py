@@ -4,7 +4,7 @@ A network sees the words on both sides of a hidden one and predicts it. A docume
 score is the sum of the log-probabilities of its words, each given its window. Training is
 data-parallel: documents are dealt to shards by a hash of their words and id; in each round
 a copy of the network is trained on each shard, document after document in the order of
-their hashes, and the copies are averaged, weighted by words, in an aggregate. So the
+their hashes, and the copies are averaged, weighted by words, block by block. So the
 scores depend on the documents, not on how they lie in files and partitions.
 
 The hidden word is predicted in two steps, its class and the word in the class, so
@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain, groupby, repeat
+from itertools import chain, compress, groupby, repeat
 
 import numpy as np
 import pandas as pd
@@ -51,6 +51,8 @@ RATE = 0.15
 BATCH = 8192
 #: Parameters are averaged as whole numbers of this unit, so their order doesn't matter.
 UNIT = 1 << 24
+#: Parameters of a row that goes to be averaged.
+BLOCK = 4096
 #: Logarithms of shares are added as whole numbers of this part of one.
 LOG_UNIT = 10**9
 
@@ -123,7 +125,7 @@ class Vocabulary:
         unknown = found < 0
         numbers, shares = np.empty(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
         numbers[~unknown], shares[~unknown] = self.number[found[~unknown]], self.share[found[~unknown]]
-        numbers[unknown] = self.by_hash([tokens[i] for i in np.flatnonzero(unknown)])
+        numbers[unknown] = self.by_hash(list(compress(tokens, unknown.tolist())))
         return numbers, shares, unknown
 
     def ids(self, tokens: list[bytes]) -> np.ndarray:
@@ -150,12 +152,21 @@ class Network:
         self.flat = flat
         self.part = self.parts(flat, shapes, sizes)
         self.shapes, self.sizes = shapes, sizes
+        self.held: dict[str, np.ndarray] = {}
 
     @staticmethod
     def parts(flat, shapes, sizes) -> dict[str, np.ndarray]:
         ends = np.cumsum(sizes)
         return {k: flat[e - n : e].reshape(s) for (k, s), n, e in zip(shapes.items(), sizes, ends, strict=True)}
 
+    def room(self, name: str, *shape: int, kind: type | np.dtype | None = None) -> np.ndarray:
+        """An array to be filled, in the same memory at each step: fresh memory costs a page fault for each page."""
+        kind, size = np.dtype(kind or self.flat.dtype), math.prod(shape)
+        held = self.held.get(name)
+        if held is None or held.size < size or held.dtype != kind:
+            held = self.held[name] = np.empty(size, kind)
+        return held[:size].reshape(shape)
+
     def window(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         steps = [d for d in range(-self.side, self.side + 1) if d]
         return np.stack([ids[at + d] for d in steps])
@@ -175,22 +186,23 @@ class Network:
         return max(group.max(), member.max()) > 80
 
     @staticmethod
-    def _exponentials(x: np.ndarray, steep: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Exponentials in place and the sum of each row; first less the row's maximum if steep."""
+    def _predict(x: np.ndarray, chosen: np.ndarray, parts: list[slice], steep: bool, train: bool) -> np.ndarray:
+        """Log-probabilities of the chosen columns of scores; in training x becomes the scores' gradient, too.
+
+        The exponentials, less the row's maximum if steep, are added up part by part.
+        """
         if steep:
             x -= x.max(axis=1, keepdims=True)
         np.exp(x, out=x)
-        return x, x @ np.ones(x.shape[1], x.dtype)
-
-    def _predict(self, x: np.ndarray, chosen: np.ndarray, steep: bool, train: bool):
-        """Log-probabilities of the chosen columns of scores; in training the scores' gradient, too."""
-        at = np.arange(len(x)) * x.shape[1] + chosen
-        x, total = self._exponentials(x, steep)
-        logs = np.log(x.ravel()[at] / total)
+        ones, total = np.ones(x.shape[1], x.dtype), np.empty(len(x), x.dtype)
+        for rows in parts:
+            np.matmul(x[rows], ones, out=total[rows])
+        flat, at = x.reshape(-1), np.arange(len(x)) * x.shape[1] + chosen
+        logs = np.log(flat[at] / total)
         if train:
             x /= total[:, None]
-            x.ravel()[at] -= 1
-        return logs, x
+            flat[at] -= 1
+        return logs
 
     def step(self, ids: np.ndarray, at: np.ndarray, squares: np.ndarray | None = None, rate: float = RATE):
         """Log-probabilities of the words at the places; with squares (of past gradients), train on them."""
@@ -198,42 +210,54 @@ class Network:
         target = ids[at]
         order = np.argsort((target // c).astype(np.uint16), kind="stable")  # words of a class side by side
         at, target = at[order], target[order]
-        group, member = target // c, target % c
+        group = target // c
+        member = target - group * c
+        ends = np.searchsorted(group, np.arange(c + 1)).tolist()
+        classes = [(k, slice(lo, hi)) for k, (lo, hi) in enumerate(zip(ends, ends[1:])) if lo < hi]
         seen = self.window(ids, at)
         h = self.hidden(seen)
         # a last unit of ones, so that the biases are rows of the matrices
         wide = np.ones((len(h), self.width + 1), h.dtype)
         wide[:, :-1] = h
+        groups = np.vstack([p["group"], p["group_bias"]])
         members = np.concatenate([p["member"], p["member_bias"][:, None]], axis=1)
         steep = self.steep()
-        logs, slope = self._predict(wide @ np.vstack([p["group"], p["group_bias"]]), group, steep, train)
+        # scores, exponentials, probabilities and gradients in turn, of the class and then of the word in it
+        x = np.matmul(wide, groups, out=self.room("scores", len(h), c))
+        logs = self._predict(x, group, [slice(None)], steep, train)
         if train:
-            grad = np.zeros_like(self.flat)
+            grad = self.room("grad", len(self.flat))
+            grad[:] = 0
             g = self.parts(grad, self.shapes, self.sizes)
-            both = wide.T @ slope
+            both = wide.T @ x
             g["group"][:], g["group_bias"][:] = both[:-1], both[-1]
-            back = slope @ p["group"].T
-        ends = np.searchsorted(group, np.arange(c + 1))
-        for k in range(c):
-            lo, hi = ends[k], ends[k + 1]
-            if lo == hi:
-                continue
-            more, slope = self._predict(wide[lo:hi] @ members[k], member[lo:hi], steep, train)
-            logs[lo:hi] += more
-            if train:
-                both = wide[lo:hi].T @ slope
-                g["member"][k], g["member_bias"][k] = both[:-1], both[-1]
-                back[lo:hi] += slope @ p["member"][k].T
+            back = np.matmul(x, p["group"].T, out=self.room("back", *h.shape))
+        for k, rows in classes:
+            np.matmul(wide[rows], members[k], out=x[rows])
+        logs += self._predict(x, member, [rows for _, rows in classes], steep, train)
         if train:
-            back *= 1 - h * h
+            both, more = np.zeros_like(members), self.room("more", *h.shape)
+            for k, rows in classes:
+                np.matmul(wide[rows].T, x[rows], out=both[k])
+                np.matmul(x[rows], p["member"][k].T, out=more[rows])
+            g["member"][:], g["member_bias"][:] = both[:, :-1], both[:, -1]
+            back += more
+            h *= h
+            back *= np.subtract(1, h, out=h)
             g["bias"][:] = back.sum(axis=0)
-            back = np.ascontiguousarray(back.T, np.float64)
+            columns = self.room("columns", self.width, len(h), kind=np.float64)
+            columns[:] = back.T
             for k in range(len(seen)):
                 for j in range(self.width):
-                    g["seen"][k][:, j] = np.bincount(seen[k], back[j], c * c + 1)
+                    g["seen"][k][:, j] = np.bincount(seen[k], columns[j], c * c + 1)
             grad /= len(at)
-            squares += grad * grad
-            self.flat -= rate * grad / (np.sqrt(squares) + 1e-6)
+            root = np.multiply(grad, grad, out=self.room("root", len(grad)))
+            squares += root
+            np.sqrt(squares, out=root)
+            root += 1e-6
+            grad *= rate
+            grad /= root
+            self.flat -= grad
         out = np.empty_like(logs)
         out[order] = logs
         return out
@@ -327,7 +351,7 @@ def _numbering(known: Vocabulary):
 
     def rows(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
         different, places, sizes = coded(texts)
-        number, share, unknown = known.look_each(different.to_pylist())
+        number, share, unknown = known.look_each(different.to_numpy(zero_copy_only=False).tolist())
         numbers, ends = number.astype(known.kind)[places], np.r_[0, np.cumsum(sizes)]
         shares = np.r_[0, np.cumsum(share[places])][ends]
         # the words whose shares are not held, with their counts in each text
@@ -368,7 +392,7 @@ def numbered(docs: DataFrame, known: Vocabulary, id_col: str = "doc_id", text_co
 
 
 def _training(start: np.ndarray, classes: int, kind: np.dtype, rate: float):
-    """Numbers, sorted by shard, to (place, high, low): its trained parameters in units, times its words."""
+    """Numbers, sorted by shard, to (block, seen, part): the shard's words and a block of its trained parameters."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = chain.from_iterable(zip(b.column("shard").to_pylist(), b.column("ids")) for b in batches)
@@ -381,16 +405,26 @@ def _training(start: np.ndarray, classes: int, kind: np.dtype, rate: float):
                 for i in range(0, len(at), BATCH):
                     net.step(ids, at[i : i + BATCH], squares, rate)
                 seen += len(at)
-            whole = np.r_[seen, np.rint(net.flat.astype(np.float64) * UNIT).astype(np.int64) * seen]
-            place = np.arange(-1, len(whole) - 1, dtype=np.int32)  # -1: the words
-            # two whole numbers, so that the sums over any number of shards stay exact
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(place), pa.array(whole >> 32), pa.array(whole & 0xFFFFFFFF)], ["place", "high", "low"]
+            part = [net.flat[i : i + BLOCK].tobytes() for i in range(0, len(net.flat), BLOCK)]
+            yield pa.RecordBatch.from_pydict(
+                {"block": pa.array(range(len(part)), pa.int32()), "seen": [seen] * len(part), "part": part}
             )
 
     return train
 
 
+def _added(copies: pa.Table) -> pa.Table:
+    """The words of all shards and the sums of a block's parameters in units, times the shards' words.
+
+    A sum is two whole numbers, so that it stays exact over any number of shards.
+    """
+    seen, high, low = 0, 0, 0
+    for n, part in zip(copies["seen"].to_pylist(), copies["part"].to_pylist(), strict=True):
+        whole = np.rint(np.frombuffer(part, np.float32).astype(np.float64) * UNIT).astype(np.int64) * n
+        seen, high, low = seen + n, high + (whole >> 32), low + (whole & 0xFFFFFFFF)
+    return pa.table({"block": copies["block"][:1], "seen": [seen], "high": [high.tobytes()], "low": [low.tobytes()]})
+
+
 def fitted(rows: DataFrame, known: Vocabulary, rounds: int = ROUNDS, rate: float = RATE) -> Network:
     """The network after so many rounds over all numbered rows, dealt to shards."""
     net = Network(known.classes)
@@ -402,17 +436,16 @@ def fitted(rows: DataFrame, known: Vocabulary, rounds: int = ROUNDS, rate: float
     ids = dealt.sortWithinPartitions("shard", "hash", "ids").select("shard", "ids").persist(StorageLevel.DISK_ONLY)
     for _ in range(rounds):
         train_copy = _training(net.flat, known.classes, known.kind, rate)
-        copies = ids.mapInArrow(train_copy, "place int, high long, low long")
-        sums = copies.groupBy("place").agg(F.sum("high").alias("high"), F.sum("low").alias("low"))
-        found = sums.toPandas()
-        if found.empty:
+        copies = ids.mapInArrow(train_copy, "block int, seen long, part binary")
+        sums = copies.groupBy("block").applyInArrow(_added, "block int, seen long, high binary, low binary")
+        found = sums.collect()
+        if not found:
             break
-        parts = zip(found["place"].tolist(), found["high"].tolist(), found["low"].tolist(), strict=True)
-        total = {place: (high << 32) + low for place, high, low in parts}
-        seen = total.pop(-1)
         flat = np.empty_like(net.flat)
-        for place, value in total.items():
-            flat[place] = value / (UNIT * seen)
+        for block, seen, *parts in found:
+            high, low = (np.frombuffer(x, np.int64).tolist() for x in parts)
+            mean = [((h << 32) + rest) / (UNIT * seen) for h, rest in zip(high, low, strict=True)]
+            flat[block * BLOCK : block * BLOCK + len(mean)] = mean
         net = Network(known.classes, flat=flat)
     ids.unpersist()
     return net

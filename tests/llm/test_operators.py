@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -228,6 +230,34 @@ def test_training_step_follows_the_gradient():
         assert moved[place] == pytest.approx((sides[0] - sides[1]) / 2e-5, abs=1e-6)
 
 
+def test_a_step_takes_its_large_arrays_from_the_step_before():
+    net, draw = masked_lm.Network(), np.random.default_rng(2)
+    ids, at = draw.integers(0, net.classes**2, masked_lm.BATCH + 4), np.arange(2, masked_lm.BATCH + 2)
+    squares = np.full(len(net.flat), 1e-6, np.float32)
+    net.step(ids, at, squares)
+    tracemalloc.start()
+    net.step(ids, at, squares)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    scores = len(at) * net.classes * net.flat.itemsize
+    assert peak < 3 * scores  # above 4 with fresh arrays
+
+
+def test_steps_of_any_size_leave_nothing_to_the_next():
+    draw = np.random.default_rng(5)
+    ids = draw.integers(0, 16, 500) ** 2 // 15  # uneven classes
+    ids[:2] = ids[-2:] = 16
+    one = masked_lm.Network(classes=4, width=3)
+    flat, squares = one.flat.copy(), [np.full(len(one.flat), 1e-6, np.float32) for _ in range(2)]
+    for size in (300, 7, 496, 1, 120):
+        at = 2 + draw.permutation(496)[:size]
+        fresh = masked_lm.Network(classes=4, width=3, flat=flat)
+        assert np.array_equal(one.step(ids, at), fresh.step(ids, at))
+        fresh = masked_lm.Network(classes=4, width=3, flat=flat)
+        assert np.array_equal(one.step(ids, at, squares[0]), fresh.step(ids, at, squares[1]))
+        assert np.array_equal(one.flat, flat) and np.array_equal(*squares)
+
+
 def test_scores_on_awkward_rows(spark):
     found = masked_lm.score(clashing(spark)).collect()
     by_id = {r["doc_id"]: r for r in found}
@@ -262,6 +292,41 @@ def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
     assert found[0] == found[1] == found[2]
 
 
+@pytest.mark.parametrize("block", [10**6, 1000, 4096])
+def test_copies_are_averaged_by_their_words(spark, monkeypatch, block):
+    monkeypatch.setattr(masked_lm, "BLOCK", block)
+    monkeypatch.setattr(masked_lm, "SHARD_WORDS", 5000)
+    base = spark.read.parquet(f"{DATA_DIR}/documents.parquet").where("doc_id < 40")
+    known = masked_lm.vocabulary(base)
+    rows = masked_lm.numbered(base, known).where("octet_length(ids) > 0")
+    shards = sum(len(r["ids"]) for r in rows.collect()) // (5000 * known.kind.itemsize)
+    dealt = rows.selectExpr("ids", "xxhash64(ids, doc_id) AS hash").selectExpr("*", f"pmod(hash, {shards}) AS shard")
+    by_shard = defaultdict(list)
+    for r in dealt.orderBy("hash", "ids").collect():
+        by_shard[r["shard"]].append(np.frombuffer(r["ids"], known.kind))
+    total, words = 0, 0
+    for texts in by_shard.values():
+        net = masked_lm.Network(known.classes)
+        squares = np.full(len(net.flat), 1e-6, np.float32)
+        for ids, at, _ in masked_lm._streams(texts, known.size, net.side):
+            for i in range(0, len(at), masked_lm.BATCH):
+                net.step(ids, at[i : i + masked_lm.BATCH], squares)
+        n = sum(map(len, texts))
+        total, words = total + net.flat.astype(np.float64) * n, words + n
+    assert len(by_shard) > 1
+    found = masked_lm.fitted(masked_lm.numbered(base, known), known, rounds=1)
+    assert np.abs(found.flat - total / words).max() < 1e-6
+
+
+def test_rows_to_be_averaged_are_blocks():
+    net = masked_lm.Network(classes=4, width=16)
+    train = masked_lm._training(net.flat, 4, np.dtype(np.uint16), 0.15)
+    ids = pa.array([np.arange(12, dtype=np.uint16).tobytes()] * 3, pa.binary())
+    batches = list(train(iter([pa.RecordBatch.from_arrays([pa.array([0, 0, 7]), ids], ["shard", "ids"])])))
+    assert [b.num_rows for b in batches] == [math.ceil(len(net.flat) / masked_lm.BLOCK)] * 2
+    assert [b["seen"].to_pylist()[0] for b in batches] == [24, 12]
+
+
 def plain_score(net, known, tokens):
     """Sum of log-probabilities, word by word, from the network's parts."""
     ids, total = [net.classes**2] * net.side + list(known.ids(tokens)) + [net.classes**2] * net.side, 0.0
